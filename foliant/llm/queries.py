@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from foliant.llm import bpe
+from foliant.llm import bpe, exact_dedup, simhash
 
 QUERIES = {
     "op1_byte_bpe": bpe.op1_byte_bpe,
+    "op2_exact_dedup": exact_dedup.op2_exact_dedup,
+    "op4_simhash": simhash.op4_simhash,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_exact_dedup": exact_dedup.OP2_SQL,
+}
