@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from foliant.llm import bpe, exact_dedup, simhash
+from foliant.llm import bpe, decontaminate, exact_dedup, simhash
 
 QUERIES = {
     "op1_byte_bpe": bpe.op1_byte_bpe,
     "op2_exact_dedup": exact_dedup.op2_exact_dedup,
     "op4_simhash": simhash.op4_simhash,
+    "op5_decontaminate": decontaminate.op5_decontaminate,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_exact_dedup": exact_dedup.OP2_SQL,
+    "op5_decontaminate": decontaminate.OP5_SQL,
 }
