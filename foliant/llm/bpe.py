@@ -17,6 +17,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -28,32 +29,42 @@ from foliant.llm.common import shuffle_width, table, written
 CHUNK_CHARS = 32_768
 OVERLAP_CHARS = 512
 #: Entries of a worker's memo of space-delimited pieces (about 100 bytes each).
-MEMO_ENTRIES = 400_000
+MEMO_ENTRIES = 150_000
 
 
 class Codec:
-    """Encoder and decoder of one rank file; made once per Python worker."""
+    """Encoder and decoder of one rank file; made once per Python worker, each half when it is first used."""
 
     _made: dict[tuple[str, str], "Codec"] = {}
 
     def __init__(self, ranks_path: str, pattern: str):
+        with open(ranks_path, "rb") as f:
+            self.ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
+        self.pat_str = pattern
+
+    @cached_property
+    def pattern(self):
         import regex
+
+        return regex.compile(self.pat_str)
+
+    @cached_property
+    def encoding(self):
         import tiktoken
 
-        with open(ranks_path, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
-        self.encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        self.pattern = regex.compile(pattern)
-        by_id = sorted((i, t) for t, i in ranks.items())
-        size = by_id[-1][0] + 1
-        self.lengths = np.zeros(size, np.int64)
-        parts = [b""] * size
-        for i, t in by_id:
-            parts[i] = t
-            self.lengths[i] = len(t)
-        self.starts = np.concatenate([[0], np.cumsum(self.lengths)])[:-1]
-        self.bytes = np.frombuffer(b"".join(parts), np.uint8)
-        self.digits = [str(i) for i in range(size)]
+        return tiktoken.Encoding("ranks", pat_str=self.pat_str, mergeable_ranks=self.ranks, special_tokens={})
+
+    @cached_property
+    def table(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Bytes of all ids on end, where each id's bytes start, and how many it has."""
+        parts = [b""] * (max(self.ranks.values()) + 1)
+        for token, i in self.ranks.items():
+            parts[i] = token
+        lengths = np.array([len(p) for p in parts], np.int64)
+        return np.frombuffer(b"".join(parts), np.uint8), np.cumsum(lengths) - lengths, lengths
+
+    @cached_property
+    def memo(self) -> dict[str, bytes]:
         encode = self.encoding.encode_ordinary
 
         class Memo(dict):
@@ -63,7 +74,7 @@ class Codec:
                     self[word] = out
                 return out
 
-        self.memo = Memo()
+        return Memo()
 
     @classmethod
     def of(cls, ranks_path: str, pattern: str) -> "Codec":
@@ -91,10 +102,10 @@ class Codec:
         a = np.frombuffer(ids, np.uint32).astype(np.int64)
         if not len(a):
             return b""
-        n = self.lengths[a]
+        raw, starts, lengths = self.table
+        n = lengths[a]
         ends = np.cumsum(n)
-        at = np.arange(ends[-1]) + np.repeat(self.starts[a] - (ends - n), n)
-        return self.bytes[at].tobytes()
+        return raw[np.arange(ends[-1]) + np.repeat(starts[a] - (ends - n), n)].tobytes()
 
     def cuts(self, text: str) -> list[int]:
         """Boundaries of the pre-tokens of ``text`` at which it may be stitched."""
@@ -139,7 +150,7 @@ def _encode_rows(ranks_path: str, pattern: str):
                 if held:
                     rows.append((*held[:3], ids := codec.encode("".join(held[3]))))
                     size += len(ids)
-                    if size > 4_000_000:
+                    if size > 1_000_000:
                         yield flush()
                         rows, size = [], 0
                 held = (row, doc, piece, [text or ""])
@@ -234,28 +245,32 @@ def encode(
     return short.unionByName(long.repartition(n, "row").sortWithinPartitions("row", "piece"))
 
 
-def decode(pieces: DataFrame, ranks_path: str | None = None, pattern: str | None = None) -> DataFrame:
-    """Adds bytes: the raw bytes of the ids of each piece, to be concatenated in order."""
-    ranks_path, pattern = _defaults(ranks_path, pattern)
-
+def _decode_rows(ranks_path: str, pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec.of(ranks_path, pattern)
         for b in batches:
             for lo in range(0, b.num_rows, 256):
                 s = b.slice(lo, 256)
-                yield pa.RecordBatch.from_arrays([*s.columns, pa.array([codec.decode(x) for x in s.column("ids").to_pylist()], pa.binary())], names=[*s.schema.names, "bytes"])
+                raw = pa.array([codec.decode(x) for x in s.column("ids").to_pylist()], pa.binary())
+                yield pa.RecordBatch.from_arrays([*s.columns, raw], names=[*s.schema.names, "bytes"])
+
+    return run
 
-    return pieces.mapInArrow(run, f"{_PIECE}, bytes binary")
 
+def decode(pieces: DataFrame, ranks_path: str | None = None, pattern: str | None = None) -> DataFrame:
+    """Adds bytes: the raw bytes of the ids of each piece, to be concatenated in order."""
+    return pieces.mapInArrow(_decode_rows(*_defaults(ranks_path, pattern)), f"{_PIECE}, bytes binary")
 
-def digests(decoded: DataFrame) -> DataFrame:
-    """Folds the pieces of each row, in order, into the digests of its ids and bytes, a piece at a time."""
+
+def digests(pieces: DataFrame, ranks_path: str | None = None, pattern: str | None = None) -> DataFrame:
+    """Decodes the pieces of each row, in order, and folds ids and bytes into digests, a piece at a time."""
+    decoded = _decode_rows(*_defaults(ranks_path, pattern))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         text_of: list[str] = []
         held: list | None = None
         out: list[tuple] = []
-        for b in batches:
+        for b in decoded(batches):
             for row, doc, _, ids, raw in zip(*(b.column(c).to_pylist() for c in ("row", "doc_id", "piece", "ids", "bytes")), strict=True):
                 if held is None or held[0] != row:
                     if held:
@@ -276,7 +291,7 @@ def digests(decoded: DataFrame) -> DataFrame:
         if out:
             yield _digest_batch(out)
 
-    return decoded.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return pieces.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def _digest_batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -284,4 +299,4 @@ def _digest_batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return digests(decode(encode(table(spark, sf_dir, "documents"))))
+    return digests(encode(table(spark, sf_dir, "documents")))
