@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from foliant.llm import bpe, decontaminate, exact_dedup, simhash, toxicity
+from foliant.llm import bpe, decontaminate, exact_dedup, quality, simhash, toxicity
 
 QUERIES = {
     "op1_byte_bpe": bpe.op1_byte_bpe,
     "op2_exact_dedup": exact_dedup.op2_exact_dedup,
+    "op3_quality": quality.op3_quality,
     "op4_simhash": simhash.op4_simhash,
     "op5_decontaminate": decontaminate.op5_decontaminate,
     "op9_toxicity": toxicity.op9_toxicity,
