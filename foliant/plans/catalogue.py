@@ -1,4 +1,597 @@
-"""Registry of the document-structure queries."""
+"""Registry of the document-structure queries: (spark, sf_dir) -> DataFrame, and SQL for the same rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from foliant.functions import text as T
+from foliant.operators import blocks as B
+from foliant.operators import footnotes, integrity, scouting, verifying
+from foliant.operators import lines as L
+from foliant.plans import fixtures as X
+from foliant.sources import readers as R
 
 QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def register(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return register
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _joined(c) -> F.Column:
+    return F.array_join(F.transform(c, lambda x: x.cast("string")), ",")
+
+
+# --- SQL pieces ---
+
+
+def _class(chars: str) -> str:
+    return T.char_class(chars).replace("'", "''")
+
+
+def _norm(c: str, drops: str = T.KEY_DROPS) -> str:
+    return f"regexp_replace(coalesce({c}, ''), '[\\s\\p{{Z}}{_class(drops)}]', '', 'g')"
+
+
+def _strip(c: str) -> str:
+    return f"regexp_replace({c}, '^[\\s\\p{{Z}}]+|[\\s\\p{{Z}}]+$', '', 'g')"
+
+
+def _bare(c: str) -> str:
+    return f"regexp_replace(coalesce({c}, ''), '[\\s\\p{{Z}}]+', '', 'g')"
+
+
+_CJK = "translate(text, 'aeiou', '的一是不了')"
+_DOC_BLOCKS = f"""doc_blocks AS (
+  SELECT book_id, page, block_ord, s AS text FROM (
+    SELECT source AS book_id, doc_id AS page, i - 1 AS block_ord, {_strip("l[i]")} AS s
+    FROM (SELECT source, doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM (SELECT source, doc_id, string_split(text, chr(10)) AS l FROM documents))) WHERE s <> '')"""
+_HEADS = f"""ends AS (
+  SELECT book_id, page, arg_min(text, block_ord) AS first_text, arg_max(text, block_ord) AS last_text FROM doc_blocks GROUP BY book_id, page
+), marks AS (
+  SELECT book_id, page, 0 AS is_last, first_text AS text FROM ends UNION ALL SELECT book_id, page, 1, last_text FROM ends
+), heads AS (
+  SELECT book_id, head_key, arg_min(text, page * 2 + is_last) AS head_text, count(*) AS n_hits
+  FROM (SELECT *, {_norm("text")} AS head_key FROM marks) GROUP BY book_id, head_key HAVING count(*) >= 3 AND length(head_key) >= 2)"""
+
+
+def _with(*parts: str | X.Inline) -> str:
+    return "WITH " + ", ".join(p.cte if isinstance(p, X.Inline) else p for p in parts)
+
+
+def _plain(s: str) -> str:
+    starts = " OR ".join(f"starts_with({s}, '{p}')" for p in T.SPECIAL_STARTS)
+    return f"(length({s}) > 0 AND NOT ({starts}) AND NOT regexp_matches({s}, '^[{T.CIRCLED}]'))"
+
+
+def _doc_lines(text: str = "text") -> str:
+    return f"""doc_lines AS (
+  SELECT doc_id AS book_id, i - 1 AS line_no, l[i] AS text FROM (
+    SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM (SELECT doc_id, string_split({text}, chr(10)) AS l FROM documents)))"""
+
+
+def _cjk_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "documents").withColumn("text", F.translate("text", "aeiou", "的一是不了"))
+
+
+# --- running heads, reflow, punctuation ---
+
+
+@query(f"{_with(_DOC_BLOCKS, _HEADS)} SELECT * FROM heads")
+def running_heads(spark, sf_dir):
+    return B.running_heads(R.document_blocks(_table(spark, sf_dir, "documents")))
+
+
+@query(f"""{_with(_DOC_BLOCKS, _HEADS)}, lines AS (
+  SELECT source, doc_id, i - 1 AS line_no, CASE WHEN i = 1 THEN '# ' || l[i] ELSE l[i] END AS text
+  FROM (SELECT source, doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM (SELECT source, doc_id, string_split(text, chr(10)) AS l FROM documents))
+), keyed AS (
+  SELECT *, {_strip("text")} AS s, {_norm(f"regexp_replace({_strip('text')}, '^[-*+]\\s+', '')")} AS k FROM lines
+), open_lines AS (
+  SELECT *, line_no > 0 AND s <> '' AND NOT regexp_matches(s, '^(#|\\[\\^|!)') AS open FROM keyed
+), whole AS (
+  SELECT DISTINCT doc_id, line_no FROM open_lines o JOIN heads h ON h.book_id = o.source AND h.head_key = o.k WHERE open
+), sticky AS (
+  SELECT doc_id, line_no, arg_min(head_text, (-length(head_text), head_text)) AS head
+  FROM open_lines o JOIN heads h ON h.book_id = o.source AND length(o.k) > length(h.head_key) + 4 AND (starts_with(o.s, h.head_text) OR ends_with(o.s, h.head_text))
+  WHERE open AND {_plain("s")} GROUP BY doc_id, line_no
+)
+SELECT o.doc_id, o.line_no,
+  CASE WHEN w.doc_id IS NOT NULL THEN '' WHEN head IS NULL THEN o.text WHEN starts_with(s, head) THEN {_strip("substr(s, length(head) + 1)")} ELSE {_strip("left(s, length(s) - length(head))")} END AS text,
+  CASE WHEN w.doc_id IS NOT NULL THEN 'line' WHEN head IS NULL THEN '' WHEN starts_with(s, head) THEN 'start' ELSE 'end' END AS how
+FROM open_lines o LEFT JOIN whole w USING (doc_id, line_no) LEFT JOIN sticky t USING (doc_id, line_no)""")
+def strip_running_heads(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    heads = B.running_heads(R.document_blocks(docs)).withColumnRenamed("book_id", "source")
+    per_doc = docs.select(F.col("doc_id").alias("book_id"), "source").join(heads, "source").select("book_id", "head_key", "head_text")
+    lines = R.document_lines(docs).withColumn("text", F.when(F.col("line_no") == 0, F.concat(F.lit("# "), F.col("text"))).otherwise(F.col("text")))
+    return L.strip_heads(lines, per_doc).select(F.col("book_id").alias("doc_id"), F.col("line_no").cast("bigint").alias("line_no"), "text", "how")
+
+
+@query(f"""{_with(_doc_lines(_CJK))}, p AS (SELECT book_id, line_no, text, {_strip("text")} AS s, {_plain(_strip("text"))} AS plain FROM doc_lines
+), q AS (SELECT *, lag(s) OVER w AS ps, coalesce(lag(plain) OVER w, FALSE) AS pp FROM p WINDOW w AS (PARTITION BY book_id ORDER BY line_no)
+), r AS (SELECT *, NOT (plain AND pp) AS starts FROM q
+), runs AS (SELECT *, sum(starts::INT) OVER (PARTITION BY book_id ORDER BY line_no ROWS UNBOUNDED PRECEDING) AS run FROM r
+), pieces AS (SELECT *, CASE WHEN NOT plain THEN text WHEN starts THEN s
+    WHEN regexp_matches(right(ps, 1), '^[一-鿿]$') AND regexp_matches(left(s, 1), '^[一-鿿]$') THEN s ELSE ' ' || s END AS piece FROM runs)
+SELECT book_id AS doc_id, min(line_no) AS line_no, string_agg(piece, '' ORDER BY line_no) AS text, count(*) - 1 AS joins FROM pieces GROUP BY book_id, run""")
+def reflow_paragraphs(spark, sf_dir):
+    out = L.reflow_lines(R.document_lines(_cjk_docs(spark, sf_dir)))
+    return out.select(F.col("book_id").alias("doc_id"), F.col("line_no").cast("bigint").alias("line_no"), "text", "joins")
+
+
+@query(f"""{_with(_DOC_BLOCKS)}, ends AS (
+  SELECT book_id, page, arg_min(text, block_ord) AS first_text, arg_max(text, block_ord) AS last_text FROM doc_blocks GROUP BY book_id, page)
+SELECT a.book_id, a.page, right({_norm("a.last_text")}, 20) AS tail, left({_norm("b.first_text")}, 20) AS head
+FROM ends a JOIN ends b ON a.book_id = b.book_id AND b.page = a.page + 1 WHERE NOT contains('{T.SENTENCE_END}', right(a.last_text, 1))""".replace("source AS book_id", "'all' AS book_id"))
+def cross_page_pairs(spark, sf_dir):
+    return B.cross_page_pairs(R.document_blocks(_table(spark, sf_dir, "documents").withColumn("source", F.lit("all"))))
+
+
+@query()
+def reflow_cross_page(spark, sf_dir):
+    blocks = R.conversation_blocks(_table(spark, sf_dir, "conversations").withColumn("text", F.regexp_replace("text", r"\.$", "")))
+    numbered = blocks.withColumn("line_no", (F.col("page") * 100_000 + F.col("block_ord") * 2).cast("int"))
+    blank = numbered.withColumns({"line_no": F.col("line_no") + 1, "text": F.lit("")})
+    lines = L.reflow_lines(numbered.unionByName(blank).select("book_id", "line_no", "text"))
+    return L.reflow_over_pages(lines, B.cross_page_pairs(blocks)).withColumnRenamed("book_id", "conv_id")
+
+
+def _localise_sql(c: str) -> str:
+    for half, full in T.FULL_WIDTH.items():
+        for _ in range(2):  # groups take their neighbours along, so every other one is left the first time
+            c = f"regexp_replace({c}, '([一-鿿])[{half}]([一-鿿])', '\\1{full}\\2', 'g')"
+    return c
+
+
+@query(f"SELECT doc_id, {_localise_sql('translate(text, $a$aeiou ,$a$, $a$的一是不了,,$a$)'.replace('$a$', chr(39)))} AS text FROM documents")
+def localize_punctuation(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").withColumn("text", F.translate("text", "aeiou ,", "的一是不了,,"))
+    return docs.select("doc_id", T.localised_punctuation(F.col("text")).alias("text"))
+
+
+@query(f"""SELECT doc_id, {_norm("t")} AS structure_key, {_norm("t", T.VERIFY_DROPS)} AS verify_key, {_norm("t", T.QUOTED_DROPS)} AS quoted_key, {_bare("t")} AS footnote_key, {_norm("t", T.QC_DROPS)} AS qc_key
+FROM (SELECT doc_id, split_part(text, chr(10), 1) AS t FROM documents)""")
+def norm_keys(spark, sf_dir):
+    t = F.split_part("text", F.lit("\n"), F.lit(1))
+    return _table(spark, sf_dir, "documents").select(
+        "doc_id", T.normalised(t).alias("structure_key"), T.normalised(t, T.VERIFY_DROPS).alias("verify_key"), T.normalised(t, T.QUOTED_DROPS).alias("quoted_key"),
+        T.without_space(t).alias("footnote_key"), T.normalised(t, T.QC_DROPS).alias("qc_key"),
+    )
+
+
+def _count(c: str, char: str) -> str:
+    return f"(length({c}) - length(replace({c}, '{char}', '')))"
+
+
+def _imbalance(c: str) -> str:
+    strict = ", ".join(f"CASE WHEN {_count(c, p[0])} <> {_count(c, p[1])} THEN '{p}' END" for p in T.STRICT_PAIRS)
+    left, right = _count(c, "“"), _count(c, "”")
+    return f"CASE WHEN concat_ws(',', {strict}) <> '' THEN concat_ws(',', {strict}) WHEN {left} > 0 AND {right} > 0 AND {left} <> {right} THEN '“”' ELSE '' END"
+
+
+_PAIR_CHARS = "translate(text, 'aeiouxyz', '《》（）「」“”')"
+
+
+@query(f"SELECT doc_id AS id, {_imbalance('t')} AS bad FROM (SELECT doc_id, left({_PAIR_CHARS}, 60) AS t FROM documents) UNION ALL SELECT -1 - block_ord - 100 * page, {_imbalance('text')} FROM ({_with(X.FLAG_BLOCKS)} SELECT * FROM flag_blocks WHERE book_id = 'f')")
+def pair_imbalance(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.left(F.translate("text", "aeiouxyz", "《》（）「」“”"), F.lit(60)).alias("t"))
+    own = X.FLAG_BLOCKS.df(spark).filter("book_id = 'f'").select((-1 - F.col("block_ord") - 100 * F.col("page")).cast("bigint").alias("id"), F.col("text").alias("t"))
+    return docs.unionByName(own).select("id", F.array_join(T.pair_imbalance(F.col("t")), ",").alias("bad"))
+
+
+def _keep(c: str, chars: str) -> str:
+    return f"regexp_replace({c}, '[^{chars}]', '', 'g')"
+
+
+_FLAG_SQL = f"""flagged AS (SELECT *, length(text) AS n,
+    {_keep("text", T.RARE)} AS rare, {_keep("text", T.TRADITIONAL_IN_FLAGS)} AS trad, {_imbalance("text")} AS bad, type IN ('paragraph_title', 'doc_title') AS heading FROM all_blocks
+), kinds AS (SELECT *, CASE WHEN type IN ('text', 'interline_equation') AND n <= 2 AND NOT regexp_full_match(text, '[0-9一二三四五六七八九十]+[.、]?|[*\\-—·]') THEN 'isolated_short'
+    WHEN regexp_matches(text, '[一-鿿]\\d[一-鿿]') THEN 'digit_in_word' WHEN heading AND regexp_matches(text, '[\\s\\p{{Z}}][0-9IilLoO]{{1,4}}$') THEN 'heading_pagenum'
+    WHEN heading AND n >= 2 AND length(rare) >= 2 THEN 'rare_chars_in_heading' WHEN length(trad) >= 2 THEN 'trad_mix' WHEN bad <> '' THEN 'unbalanced_pair' END AS kind FROM flagged
+), own AS (SELECT book_id, page, block_ord, text, kind, CASE kind WHEN 'isolated_short' THEN n::VARCHAR WHEN 'rare_chars_in_heading' THEN rare WHEN 'trad_mix' THEN left(trad, 6) WHEN 'unbalanced_pair' THEN bad ELSE '' END AS detail, 0 AS emit_ord
+  FROM kinds WHERE kind IS NOT NULL
+), edge AS (SELECT book_id, page, arg_min(text, block_ord) AS f, arg_max(text, block_ord) AS l FROM all_blocks WHERE type = 'text' GROUP BY book_id, page
+), quotes AS (SELECT a.book_id, a.page, a.f FROM edge a JOIN edge b ON a.book_id = b.book_id AND b.page = a.page - 1 WHERE starts_with(a.f, '“') AND NOT contains('{T.SENTENCE_END_BEFORE_QUOTE}', right(b.l, 1))
+), opened AS (SELECT b.book_id, b.page, min(b.block_ord) AS block_ord, any_value(b.text) AS text, 'page_open_quote' AS kind, '' AS detail, 1 AS emit_ord FROM all_blocks b JOIN quotes q ON b.book_id = q.book_id AND b.page = q.page AND b.text = q.f GROUP BY b.book_id, b.page
+), every AS (SELECT * FROM own UNION ALL SELECT * FROM opened
+), uniq AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY book_id, left(text, 50) ORDER BY page, block_ord, emit_ord) AS k FROM every) WHERE k = 1
+), ranked AS (SELECT *, row_number() OVER (PARTITION BY book_id ORDER BY page, block_ord, emit_ord) AS r, count(*) OVER (PARTITION BY book_id) AS total FROM uniq)"""
+
+
+@query(f"""{_with(X.FLAG_BLOCKS, _DOC_BLOCKS)}, all_blocks AS (
+  SELECT book_id, page, block_ord, type, text FROM flag_blocks UNION ALL
+  SELECT page::VARCHAR, 0, block_ord, CASE WHEN block_ord = 0 THEN 'paragraph_title' ELSE 'text' END, translate(text, 'aeiou', '的一是不了') FROM doc_blocks), {_FLAG_SQL}
+SELECT book_id, CAST(page AS BIGINT) AS page, CAST(block_ord AS BIGINT) AS block_ord, text, kind, detail, greatest(total - 6, 0) AS truncated FROM ranked WHERE r <= 6""")
+def suspicion_flags(spark, sf_dir):
+    docs = R.document_blocks(_cjk_docs(spark, sf_dir)).select(F.col("page").cast("string").alias("book_id"), F.lit(0).alias("page"), "block_ord", "type", "text")
+    found = B.distinct_flags(B.flags(X.FLAG_BLOCKS.df(spark).unionByName(docs)), 6)
+    return found.select("book_id", F.col("page").cast("bigint").alias("page"), F.col("block_ord").cast("bigint").alias("block_ord"), "text", "kind", "detail", "truncated")
+
+
+@query(f"{_with(X.FLAG_BLOCKS)}, all_blocks AS (SELECT * FROM flag_blocks), {_FLAG_SQL} SELECT book_id, CAST(page AS BIGINT) AS page, CAST(block_ord AS BIGINT) AS block_ord, text FROM opened")
+def page_open_quote(spark, sf_dir):
+    return B.open_quotes(X.FLAG_BLOCKS.df(spark)).select("book_id", F.col("page").cast("bigint").alias("page"), F.col("block_ord").cast("bigint").alias("block_ord"), "text")
+
+
+_ANCHORS = """parts AS (SELECT item_id, split_part(text, chr(10), 1) AS part FROM benchmark), hits AS (
+  SELECT item_id, doc_id, part, text, CAST((length(text) - length(replace(text, part, ''))) / length(part) AS BIGINT) AS n FROM parts JOIN documents ON contains(text, part))"""
+
+
+def _anchored(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("book_id"), "text")
+    parts = _table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("part_id"), F.split_part("text", F.lit("\n"), F.lit(1)).alias("part"))
+    return docs, parts, verifying.anchors(docs, parts)
+
+
+@query(f"{_with(_ANCHORS)} SELECT item_id, doc_id, n, n = 1 AS is_unique FROM hits")
+def unique_anchor(spark, sf_dir):
+    found = _anchored(spark, sf_dir)[2]
+    return found.select(F.col("part_id").alias("item_id"), F.col("book_id").alias("doc_id"), "n", (F.col("n") == 1).alias("is_unique"))
+
+
+@query(f"""{_with(_ANCHORS)}, f AS (SELECT item_id, doc_id, part AS old, split_part(text, chr(10), 1) AS new FROM hits)
+SELECT item_id, doc_id, round(length(new) / greatest(length(old), 1), 6) AS ratio, CASE WHEN length(new) / greatest(length(old), 1) BETWEEN 0.8 AND 2.0 THEN 'proposal' ELSE 'review' END AS route, length(new) < 0.8 * length(old) AS shrinks FROM f""")
+def length_ratio_routing(spark, sf_dir):
+    docs, parts, found = _anchored(spark, sf_dir)
+    rows = found.join(parts, "part_id").join(docs, "book_id")
+    old, new = F.col("part"), F.split_part("text", F.lit("\n"), F.lit(1))
+    route = F.when(T.within_ratio(old, new), "proposal").otherwise("review")
+    return rows.select(F.col("part_id").alias("item_id"), F.col("book_id").alias("doc_id"), F.round(T.length_ratio(old, new), 6).alias("ratio"), route.alias("route"), T.shrinks(old, new).alias("shrinks"))
+
+
+@query()
+def trim_to_span(spark, sf_dir):
+    return X.TRIM_PAIRS.df(spark).select("pair_id", verifying.trim_to_span("old", "new").alias("t")).select("pair_id", "t.*")
+
+
+# --- boundaries and headings ---
+
+
+def _rules(spark: SparkSession) -> DataFrame:
+    match = F.struct("block_type", "regex", F.lit(None).cast("int").alias("max_len"), F.when(F.col("exclude").isNotNull(), F.array("exclude")).alias("exclude_text"), F.lit(False).alias("adjacent_short_block"))
+    return X.RULES.df(spark).select("book_id", "rule_ord", "name", "target", match.alias("match"), "confidence")
+
+
+_BODY = "type IN ('text', 'paragraph_title', 'doc_title')"
+
+
+@query(f"""{_with(X.BLOCKS, X.RULES)}, h AS (
+  SELECT b.book_id, rule_ord, name, confidence, page, arg_min(text, block_ord) AS header FROM blocks b JOIN rules r ON b.book_id = r.book_id AND target = 'header_blocks' AND b.type = r.block_type
+  WHERE exclude IS NULL OR {_norm("text")} <> {_norm("exclude")} GROUP BY ALL
+), c AS (SELECT *, {_norm("header")} AS k, lag({_norm("header")}) OVER (PARTITION BY book_id, rule_ord ORDER BY page) AS pk FROM h
+), t AS (SELECT *, {_norm("text")} AS bk, lead(text, 1) OVER w AS a1, lead(text, 2) OVER w AS a2 FROM blocks WHERE {_BODY} WINDOW w AS (PARTITION BY book_id, page ORDER BY block_ord)
+), m AS (SELECT c.book_id, c.page AS hp, header, name, confidence, t.page, CASE WHEN bk = k THEN 0 ELSE 1 END AS rank, block_ord,
+    coalesce(CASE WHEN regexp_matches(a1, '{T.AUTHOR_NAME}') THEN a1 END, CASE WHEN regexp_matches(a2, '{T.AUTHOR_NAME}') THEN a2 END, '') AS author
+  FROM c JOIN t ON c.book_id = t.book_id AND t.page BETWEEN c.page - 6 AND c.page - 1 AND (bk = k OR (length(bk) >= 2 AND (contains(k, bk) OR contains(bk, k)))) WHERE c.k IS DISTINCT FROM c.pk)
+SELECT book_id, CAST(hp AS BIGINT) AS header_page, CAST(page AS BIGINT) AS page, header AS title, author FROM (SELECT *, row_number() OVER (PARTITION BY book_id, hp ORDER BY page DESC, rank, block_ord) AS r FROM m) WHERE r = 1""")
+def header_change_boundaries(spark, sf_dir):
+    blocks = X.BLOCKS.df(spark)
+    out = B.title_pages(B.header_changes(blocks, _rules(spark)), blocks)
+    return out.select("book_id", F.col("emit_ord").cast("bigint").alias("header_page"), F.col("page").cast("bigint").alias("page"), "title", "author")
+
+
+@query(f"""{_with(X.BLOCKS, X.RULES)}, t AS (
+  SELECT *, list_filter([lead(text, 1) OVER w, lead(text, 2) OVER w, lead(text, 3) OVER w], lambda x: length(x) BETWEEN 1 AND 30) AS short FROM blocks WHERE type IN ('text', 'paragraph_title') WINDOW w AS (PARTITION BY book_id, page ORDER BY block_ord)
+), f AS (SELECT t.book_id, page, arg_min(short, block_ord) AS short FROM t JOIN rules r ON t.book_id = r.book_id AND target = 'text_blocks' AND regexp_matches(text, regex) GROUP BY ALL)
+SELECT book_id, CAST(page AS BIGINT) AS page, short[1] AS title, CASE WHEN len(short) > 1 AND length(short[2]) <= 4 THEN short[2] ELSE '' END AS author FROM f WHERE len(short) > 0""")
+def regex_boundaries(spark, sf_dir):
+    return B.regex_boundaries(X.BLOCKS.df(spark), _rules(spark)).select("book_id", F.col("page").cast("bigint").alias("page"), "title", "author")
+
+
+@query()
+def boundaries(spark, sf_dir):
+    return B.boundaries(X.BLOCKS.df(spark), _rules(spark))
+
+
+@query(f"""{_with(X.BLOCKS)}, k AS (SELECT DISTINCT book_id, {_norm("text")} AS chapter_key FROM blocks WHERE type IN ('text', 'paragraph_title') AND regexp_matches({_bare("text")}, '^\\d{{1,2}}[.、]\\s*\\S{{2,30}}$'))
+SELECT * FROM k WHERE book_id IN (SELECT book_id FROM k GROUP BY book_id HAVING count(*) >= 3)""")
+def numbered_chapters(spark, sf_dir):
+    return B.numbered_chapters(X.BLOCKS.df(spark))
+
+
+@query(f"""{_with(X.BLOCKS)} SELECT book_id, family, count(*) AS votes FROM (
+  SELECT book_id, CASE WHEN regexp_matches({_bare("text")}, '{T.ORDINAL_FAMILIES["其"]}') THEN '其' WHEN regexp_matches({_bare("text")}, '{T.ORDINAL_FAMILIES["第"]}') THEN '第' END AS family FROM blocks WHERE type = 'paragraph_title')
+WHERE family IS NOT NULL GROUP BY ALL HAVING count(*) >= 2""")
+def ordinal_families(spark, sf_dir):
+    return B.ordinal_families(X.BLOCKS.df(spark))
+
+
+@query(f"""WITH RECURSIVE {X.PLACE_LINES.cte}, {X.PLACE_TITLES.cte}, titles AS (
+  SELECT book_id, ord, {_norm("title")} AS tk, row_number() OVER (PARTITION BY book_id ORDER BY ord) - 1 AS b FROM place_titles WHERE title <> ''
+), m AS (SELECT t.book_id, b, line_no FROM titles t JOIN (SELECT book_id, line_no, {_norm("regexp_replace(text, '^#+', '')")} AS k FROM place_lines) l
+    ON t.book_id = l.book_id AND (k = tk OR (length(k) >= 2 AND contains(tk, k)))
+), cur AS (SELECT DISTINCT book_id, 0 AS c FROM titles UNION SELECT DISTINCT book_id, line_no + 1 FROM m
+), nxt AS (SELECT t.book_id, t.b, c, min(line_no) AS line FROM titles t JOIN cur USING (book_id) LEFT JOIN m ON m.book_id = t.book_id AND m.b = t.b AND line_no >= c GROUP BY t.book_id, t.b, c
+), f AS (SELECT DISTINCT book_id, CAST(-1 AS BIGINT) AS b, 0 AS c, CAST(NULL AS INTEGER) AS line FROM titles
+  UNION ALL SELECT n.book_id, n.b, coalesce(n.line + 1, f.c), n.line FROM f JOIN nxt n ON n.book_id = f.book_id AND n.b = f.b + 1 AND n.c = f.c)
+SELECT f.book_id, t.ord, CAST(line AS BIGINT) AS line_no FROM f JOIN titles t ON f.book_id = t.book_id AND f.b = t.b""")
+def place_titles(spark, sf_dir):
+    out = L.place_titles(X.PLACE_LINES.df(spark), X.PLACE_TITLES.df(spark))
+    return out.select("book_id", "ord", F.col("line_no").cast("bigint").alias("line_no"))
+
+
+@query()
+def apply_titles(spark, sf_dir):
+    lines, titles = X.PLACE_LINES.df(spark), X.PLACE_TITLES.df(spark)
+    return L.apply_titles(lines, titles, L.place_titles(lines, titles))
+
+
+def _toc(spark):
+    lines, titles, placed = (x.df(spark) for x in (X.TOC_LINES, X.TOC_TITLES, X.TOC_PLACED))
+    return lines, titles, placed, L.toc_range(lines, titles, placed)
+
+
+_TOC_RANGE = f"""named AS (SELECT DISTINCT book_id, {_norm("title")} AS k FROM toc_titles WHERE contains(title, '目录')
+), hd AS (SELECT book_id, line_no, {_norm("regexp_replace(text, '^#+\\s*', '')")} AS k FROM toc_lines WHERE regexp_matches(text, '^\\s*#')
+), st AS (SELECT book_id, min(line_no) AS toc_start FROM hd h WHERE CASE WHEN EXISTS (SELECT 1 FROM named n WHERE n.book_id = h.book_id) THEN EXISTS (SELECT 1 FROM named n WHERE n.book_id = h.book_id AND n.k = h.k) ELSE contains(k, '目录') END GROUP BY book_id
+), ranges AS (SELECT s.book_id, toc_start, coalesce((SELECT min(p.line_no) FROM toc_placed p WHERE p.book_id = s.book_id AND p.line_no > toc_start), (SELECT max(l.line_no) + 1 FROM toc_lines l WHERE l.book_id = s.book_id)) AS toc_end FROM st s)"""
+
+
+@query(f"{_with(X.TOC_LINES, X.TOC_TITLES, X.TOC_PLACED, _TOC_RANGE)} SELECT book_id, CAST(toc_start AS BIGINT) AS toc_start, CAST(toc_end AS BIGINT) AS toc_end FROM ranges")
+def toc_range(spark, sf_dir):
+    return _toc(spark)[3].select("book_id", F.col("toc_start").cast("bigint").alias("toc_start"), F.col("toc_end").cast("bigint").alias("toc_end"))
+
+
+_ENTRY_SQL = _strip("regexp_replace(regexp_replace(" + _strip("text") + ", '^[-*+]\\s*', ''), '\\s*[-—–….·]*\\s*\\d{1,4}\\s*$', '')")
+
+
+@query(f"""{_with(X.TOC_LINES, X.TOC_TITLES, X.TOC_PLACED, _TOC_RANGE)}, e AS (
+  SELECT book_id, line_no, {_ENTRY_SQL} AS entry FROM toc_lines JOIN ranges USING (book_id) WHERE line_no > toc_start AND line_no < toc_end
+), p AS (SELECT book_id, line_no, title FROM toc_placed JOIN toc_titles USING (book_id, ord)
+), h AS (SELECT p.book_id, p.line_no, arg_min(entry, e.line_no) AS completed FROM p JOIN e ON p.book_id = e.book_id AND entry <> '' AND starts_with({_norm("entry")}, {_norm("title")}) AND length({_norm("entry")}) > length({_norm("title")}) + 1 GROUP BY ALL)
+SELECT book_id, CAST(p.line_no AS BIGINT) AS line_no, title, completed FROM p LEFT JOIN h USING (book_id, line_no)""")
+def toc_completion(spark, sf_dir):
+    lines, titles, placed, ranges = _toc(spark)
+    spots = placed.join(titles, ["book_id", "ord"]).select("book_id", "line_no", "title")
+    return L.complete_titles(L.toc_entries(lines, ranges), spots).select("book_id", F.col("line_no").cast("bigint").alias("line_no"), "title", "completed")
+
+
+@query()
+def reconcile_headings(spark, sf_dir):
+    lines, titles, placed, ranges = _toc(spark)
+    blocks = lines.select("book_id", F.col("line_no").alias("page"), F.lit(0).alias("block_ord"), F.lit("paragraph_title").alias("type"), T.heading_title(F.col("text")).alias("text"))
+    return L.verdicts(lines, titles, placed, B.numbered_chapters(blocks, 1), B.ordinal_families(blocks, 1), ranges)
+
+
+@query()
+def absorb_residue(spark, sf_dir):
+    lines, titles, placed, _ = _toc(spark)
+    return L.absorb_residue(lines, placed.join(titles, ["book_id", "ord"]).select("book_id", "line_no", "title"))
+
+
+@query(f"""SELECT page_id, CAST(1 AS BIGINT) AS level, {_strip("h[1]")} AS title FROM (SELECT page_id, regexp_extract_all(html, '(?s)<h1>(.*?)</h1>', 1) AS h FROM pages) WHERE len(h) > 0 AND {_strip("h[1]")} <> ''""")
+def outline(spark, sf_dir):
+    h1 = F.get(F.regexp_extract_all("html", F.lit(r"(?s)<h1>(.*?)</h1>"), F.lit(1)), F.lit(0))
+    lines = _table(spark, sf_dir, "pages").select(F.col("page_id").alias("book_id"), F.lit(0).alias("line_no"), F.concat(F.lit("# "), h1).alias("text")).filter("text IS NOT NULL")
+    return L.outline(lines).select(F.col("book_id").alias("page_id"), F.col("level").cast("bigint").alias("level"), "title")
+
+
+# --- tables of contents, containers ---
+
+
+@query(f"""WITH p AS (SELECT page_id, split_part(html, '</nav>', 2) AS body, split_part(html, '</nav>', 1) AS nav FROM pages), l AS (
+  SELECT page_id, body, unnest(regexp_extract_all(nav, '(?s)<a[^>]+href="([^"]+)"[^>]*>(.*?)</a>', 1)) AS href, unnest(regexp_extract_all(nav, '(?s)<a[^>]+href="([^"]+)"[^>]*>(.*?)</a>', 2)) AS label FROM p)
+SELECT page_id, href, label FROM l WHERE {_norm("regexp_replace(label, '<[^>]+>', '', 'g')", T.QC_DROPS)} <> '' AND lower({_norm("label", T.QC_DROPS)}) NOT IN ('titlepage', 'tableofcontents', '标题页', '目录')
+  AND NOT contains({_norm("regexp_replace(body, '<[^>]+>', '', 'g')", T.QC_DROPS)}, {_norm("regexp_replace(label, '<[^>]+>', '', 'g')", T.QC_DROPS)})""")
+def toc_landing(spark, sf_dir):
+    pages = _table(spark, sf_dir, "pages").select(F.col("page_id").alias("book_id"), F.split_part("html", F.lit("</nav>"), F.lit(1)).alias("html"), F.split_part("html", F.lit("</nav>"), F.lit(2)).alias("body"))
+    toc = R.nav_entries(pages).withColumns({"link": F.col("href"), "href": F.lit("self"), "base": F.lit(""), "self_name": F.lit(None).cast("string")})
+    files = pages.select("book_id", F.lit("self").alias("name"), F.col("body").alias("html"))
+    found = integrity.toc_mismatches(toc, files).select("book_id", "ord").join(toc, ["book_id", "ord"])
+    return found.select(F.col("book_id").alias("page_id"), F.col("link").alias("href"), "label")
+
+
+@query("""WITH l AS (SELECT page_id, unnest(regexp_extract_all(html, '(?s)<a[^>]+href="([^"]+)"[^>]*>(.*?)</a>', 1)) AS href FROM pages)
+SELECT page_id, href FROM l WHERE href NOT IN (SELECT '/' || regexp_extract(url, '//[^/]+/([^?#]*)', 1) FROM pages)""")
+def manifest_missing(spark, sf_dir):
+    pages = _table(spark, sf_dir, "pages")
+    links = R.nav_entries(pages.select(F.col("page_id").alias("id"), "html").withColumnRenamed("id", "book_id")).withColumnsRenamed({"book_id": "page_id"})
+    manifest = links.select(F.lit("site").alias("book_id"), F.lit("").alias("base"), "href", "page_id")
+    entries = pages.select(F.lit("site").alias("book_id"), F.concat(F.lit("/"), F.regexp_extract("url", "//[^/]+/([^?#]*)", 1)).alias("name"))
+    gone = integrity.missing_files(manifest.select("book_id", "base", "href").distinct(), entries)
+    return links.join(gone.select("href"), "href").select("page_id", "href")
+
+
+_MISMATCH = f"""x AS (SELECT *, {_norm("regexp_replace(label, '<[^>]+>', '', 'g')", T.QC_DROPS)} AS k, split_part(href, '#', 1) AS path FROM toc
+), y AS (SELECT *, CASE WHEN starts_with(path, base) THEN path ELSE base || path END AS full_name FROM x
+), wrong AS (SELECT y.book_id, y.ord, href, label, CASE WHEN f.name IS NULL THEN 'file missing' ELSE 'label missing' END AS reason FROM y LEFT JOIN files f ON f.book_id = y.book_id AND f.name = y.full_name
+  WHERE lower(k) NOT IN ('titlepage', 'tableofcontents', '标题页', '目录') AND path <> '' AND full_name IS DISTINCT FROM self_name
+    AND (f.name IS NULL OR (k <> '' AND NOT contains({_norm("regexp_replace(html, '<[^>]+>', '', 'g')", T.QC_DROPS)}, k))))"""
+
+
+@query(f"{_with(X.TOC, X.FILES, _MISMATCH)} SELECT book_id, CAST(ord AS BIGINT) AS ord, href, label, reason FROM wrong")
+def toc_mismatches(spark, sf_dir):
+    return integrity.toc_mismatches(X.TOC.df(spark), X.FILES.df(spark)).withColumn("ord", F.col("ord").cast("bigint"))
+
+
+@query(f"""{_with(X.ENTRIES, X.MANIFEST, X.TOC, X.FILES, _MISMATCH)}, b AS (SELECT book_id, arg_min(name, ord) AS fn, arg_min(compress_type, ord) AS ct, count(*) FILTER (WHERE name = 'META-INF/container.xml') AS nc FROM entries GROUP BY book_id
+), c AS (SELECT *, (SELECT count(*) FROM manifest m WHERE m.book_id = b.book_id AND href IS NOT NULL AND NOT EXISTS (SELECT 1 FROM entries e WHERE e.book_id = m.book_id AND e.name = m.base || m.href)) AS nm,
+  (SELECT count(*) FROM toc t WHERE t.book_id = b.book_id) AS nt, (SELECT count(*) FROM wrong w WHERE w.book_id = b.book_id) AS nw FROM b)
+SELECT book_id, 'mimetype first' AS name, fn = 'mimetype' AS ok, CAST(0 AS BIGINT) AS n FROM c UNION ALL SELECT book_id, 'mimetype stored', ct = 0, CAST(ct AS BIGINT) FROM c UNION ALL SELECT book_id, 'container present', nc > 0, nc FROM c
+UNION ALL SELECT book_id, 'manifest complete', nm = 0, nm FROM c UNION ALL SELECT book_id, 'toc present', nt > 0, nt FROM c UNION ALL SELECT book_id, 'toc lands', nw = 0, nw FROM c""")
+def qc_checks(spark, sf_dir):
+    return integrity.checks(*(x.df(spark) for x in (X.ENTRIES, X.MANIFEST, X.TOC, X.FILES)))
+
+
+@query()
+def qc_passed(spark, sf_dir):
+    return integrity.passed(qc_checks(spark, sf_dir))
+
+
+@query(f"""{_with(X.NAMES_WANTED, X.NAMES_TAKEN)} SELECT stem, ext, stem || CASE WHEN n = 1 THEN '' ELSE '-' || n END || ext AS name FROM (
+  SELECT stem, ext, min(n) AS n FROM wanted, (SELECT unnest(range(1, 10)) AS n) WHERE stem || CASE WHEN n = 1 THEN '' ELSE '-' || n END || ext NOT IN (SELECT name FROM taken) GROUP BY stem, ext)""")
+def free_names(spark, sf_dir):
+    return integrity.free_names(X.NAMES_WANTED.df(spark), X.NAMES_TAKEN.df(spark))
+
+
+@query(f"""{_with(_DOC_BLOCKS, _HEADS)}, b AS (SELECT DISTINCT source AS book_id FROM documents), x AS (SELECT book_id, count(*) AS n FROM doc_blocks GROUP BY book_id), y AS (SELECT book_id, count(*) AS n FROM heads GROUP BY book_id)
+SELECT book_id, coalesce(x.n, 0) AS n_blocks, coalesce(y.n, 0) AS n_heads FROM b LEFT JOIN x USING (book_id) LEFT JOIN y USING (book_id)""")
+def phase_report(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    blocks = R.document_blocks(docs)
+    return integrity.phase_report(docs.select(F.col("source").alias("book_id")), blocks=blocks, heads=B.running_heads(blocks))
+
+
+# --- scouting ---
+
+
+def _sample_sql(source: str) -> str:
+    mid = "greatest(0, 16 - least(8, total) - CASE WHEN total > 10 THEN 2 ELSE 0 END)"
+    return f"""SELECT DISTINCT book_id, CAST(page AS BIGINT) AS page FROM (
+  SELECT book_id, total, unnest(range(0, least(8, total))) AS page FROM {source} UNION ALL SELECT book_id, total, total - 2 FROM {source} WHERE total > 10 UNION ALL SELECT book_id, total, total - 1 FROM {source} WHERE total > 10
+  UNION ALL SELECT book_id, total, CAST(trunc(9 + CAST(total - 10 AS DOUBLE) / ({mid} + 1) * i) AS BIGINT) FROM (SELECT book_id, total, unnest(range(1, {mid} + 1)) AS i FROM {source} WHERE total > 12)) WHERE page >= 0 AND page < total"""
+
+
+@query(f"{_with(X.TOTALS)}, n AS (SELECT source AS book_id, count(*) AS total FROM documents GROUP BY source UNION ALL SELECT * FROM totals) {_sample_sql('n')}")
+def sample_pages(spark, sf_dir):
+    n = _table(spark, sf_dir, "documents").groupBy(F.col("source").alias("book_id")).agg(F.count(F.lit(1)).alias("total"))
+    return scouting.sample_pages(n.unionByName(X.TOTALS.df(spark))).withColumn("page", F.col("page").cast("bigint"))
+
+
+@query(f"{_with(X.DESCS)} SELECT book_id, count(*) AS n_pages, count(*) FILTER (WHERE NOT ok) AS n_bad, count(*) FILTER (WHERE NOT ok) <= count(*) / 2 AS proceed FROM descs GROUP BY book_id")
+def failure_gate(spark, sf_dir):
+    return scouting.failure_gate(X.DESCS.df(spark))
+
+
+_TITLES = """votes AS (SELECT book_id, trim(title_like_text) AS t, count(*) AS n, min(idx) AS i FROM descs WHERE trim(coalesce(title_like_text, '')) <> '' GROUP BY ALL
+), titles AS (SELECT d.book_id, coalesce(arg_min(t, (-n, i)), '') AS title FROM (SELECT DISTINCT book_id FROM descs) d LEFT JOIN votes v ON v.book_id = d.book_id GROUP BY d.book_id)"""
+_SIGNALS = f"""{_TITLES}, s AS (SELECT d.*, title, trim(coalesce(header_text, '')) AS h FROM descs d JOIN titles USING (book_id)
+), rules AS (
+  SELECT book_id, '页眉即篇名' AS name, 'header_blocks' AS target, least(0.95::DOUBLE, 0.55::DOUBLE + 0.1::DOUBLE * count(DISTINCT h)) AS confidence, list_sort(list(idx))[1:8] AS ev, count(DISTINCT h) AS n FROM s WHERE h <> '' AND h <> title AND title <> '' GROUP BY book_id HAVING count(DISTINCT h) >= 2
+  UNION ALL SELECT book_id, '引子段即篇界', 'text_blocks', least(0.9::DOUBLE, 0.5::DOUBLE + 0.15::DOUBLE * count(*)), list_sort(list(idx))[1:8], count(*) FROM s WHERE trim(coalesce(bio_like_text, '')) <> '' GROUP BY book_id HAVING count(*) >= 2
+  UNION ALL SELECT book_id, '篇名页即篇界', 'title_blocks', least(0.85::DOUBLE, 0.5::DOUBLE + 0.15::DOUBLE * count(*)), list_sort(list(idx))[1:8], count(*) FROM s WHERE page_type = '篇名页' GROUP BY book_id HAVING count(*) >= 2)"""
+
+
+@query(f"{_with(X.DESCS, _SIGNALS)} SELECT book_id, name, target, round(confidence, 6) AS confidence, array_to_string(ev, ',') AS evidence_pages, n AS n_evidence FROM rules")
+def signals_rules(spark, sf_dir):
+    out = scouting.signal_rules(X.DESCS.df(spark))
+    return out.select("book_id", "name", "target", F.round("confidence", 6).alias("confidence"), _joined("evidence_pages").alias("evidence_pages"), "n_evidence")
+
+
+_LISTED = "coalesce(string_agg(d.idx::VARCHAR, ',' ORDER BY d.idx) FILTER (WHERE {}), '')"
+
+
+@query(f"""{_with(X.DESCS, X.TOTALS, _SIGNALS)}, fb AS (SELECT book_id, min(idx) FILTER (WHERE page_type = '正文') AS body FROM descs GROUP BY book_id)
+SELECT d.book_id, t.title, CASE WHEN EXISTS (SELECT 1 FROM rules r WHERE r.book_id = d.book_id) THEN '文集选本' ELSE '单作者专著' END AS book_kind,
+  {_LISTED.format("page_type IN ('" + "', '".join(T.FRONT_MATTER_TYPES) + "') AND d.idx < coalesce(fb.body, o.total)")} AS front_matter_pages, {_LISTED.format("contains(font_notes, '竖排')")} AS vertical_pages,
+  {_LISTED.format("contains(font_notes, '美术字') OR contains(font_notes, '手写') OR contains(font_notes, '书法')")} AS calligraphy_pages,
+  coalesce(string_agg(DISTINCT font_notes, '；' ORDER BY font_notes) FILTER (WHERE font_notes <> ''), '') AS notes
+FROM descs d JOIN titles t USING (book_id) JOIN fb ON fb.book_id = d.book_id JOIN totals o ON o.book_id = d.book_id GROUP BY d.book_id, t.title""")
+def book_profile(spark, sf_dir):
+    out = scouting.profiles(X.DESCS.df(spark), X.TOTALS.df(spark))
+    return out.select("book_id", "title", "book_kind", _joined("front_matter_pages").alias("front_matter_pages"), _joined("vertical_pages").alias("vertical_pages"), _joined("calligraphy_pages").alias("calligraphy_pages"), "notes")
+
+
+@query(f"""{_with(X.CANDIDATES, X.RULE_VERDICTS, X.ADDED_RULES)}, e AS (
+  SELECT book_id, 0 AS part, ord, name, target, confidence, 'candidate' AS source FROM candidates WHERE book_id NOT IN ('a')
+  UNION ALL SELECT v.book_id, 0, v.ord, v.name, CASE WHEN verdict = 'adopt' THEN c.target ELSE v.target END, CASE WHEN verdict = 'adopt' THEN c.confidence ELSE v.confidence END, verdict FROM rule_verdicts v LEFT JOIN candidates c ON c.book_id = v.book_id AND c.name = v.name
+    WHERE (verdict = 'adopt' AND c.name IS NOT NULL) OR (verdict = 'adjust' AND v.target <> '')
+  UNION ALL SELECT book_id, 1, ord, name, target, least(coalesce(confidence, 0.7), 0.85), 'added' FROM added_rules WHERE name <> '' AND target <> '')
+SELECT book_id, name, target, confidence, source, row_number() OVER (PARTITION BY book_id ORDER BY part, ord) - 1 AS rule_ord FROM e""")
+def rule_arbitration(spark, sf_dir):
+    answered = X.RULE_VERDICTS.df(spark)
+    out = scouting.arbitrated_rules(X.CANDIDATES.df(spark), answered, X.ADDED_RULES.df(spark), answered)
+    return out.withColumn("rule_ord", F.col("rule_ord").cast("bigint"))
+
+
+@query(f"""{_with(X.WRAPPED_JSON)}, t AS (SELECT row_id, text FROM wrapped UNION ALL SELECT 100 + event_id, 'note ' || props || ' end' FROM events), j AS (SELECT row_id, regexp_extract(text, '(?s)\\{{.*\\}}') AS b FROM t)
+SELECT CAST(row_id AS BIGINT) AS row_id, CASE WHEN b <> '' AND json_valid(b) THEN TRUE ELSE FALSE END AS parsed, CASE WHEN b <> '' AND json_valid(b) THEN json_extract_string(b, '$.a') END AS a FROM j""")
+def extract_json(spark, sf_dir):
+    events = _table(spark, sf_dir, "events").select((F.col("event_id") + 100).alias("row_id"), F.concat(F.lit("note "), "props", F.lit(" end")).alias("text"))
+    rows = X.WRAPPED_JSON.df(spark).select(F.col("row_id").cast("bigint").alias("row_id"), "text").unionByName(events).withColumn("j", T.json_in_prose(F.col("text")))
+    return rows.select("row_id", F.col("j").isNotNull().alias("parsed"), F.try_variant_get("j", "$.a", "string").alias("a"))
+
+
+# --- footnotes ---
+
+
+@query(f"""{_with(X.NOTE_BLOCKS)}, t AS (SELECT *, regexp_replace(text, '\\$?\\^\\{{([{T.CIRCLED}*])\\}}\\$?', '\\1', 'g') AS s FROM note_blocks WHERE type IN ('text', 'paragraph_title')
+), c AS (SELECT book_id, page, block_ord, s, unnest(range(1, length(s) + 1)) AS i FROM t
+), m AS (SELECT *, substr(s, i, 1) AS mk, CASE WHEN contains('{T.CIRCLED}', substr(s, i, 1)) THEN 0 WHEN substr(s, i, 1) = '*' AND i > 1 AND contains('。！？!?”’"''』」）)', substr(s, i - 1, 1)) AND substr(s, i + 1, 1) <> '*' THEN 1 END AS g FROM c
+), mm AS (SELECT book_id, page, mk, substr(s, greatest(i - 10, 1), least(i - 1, 10)) AS before, substr(s, i + 1, 10) AS after, row_number() OVER (PARTITION BY book_id, page ORDER BY block_ord, g, i) - 1 AS k FROM m WHERE g IS NOT NULL
+), n AS (SELECT book_id, page, text, regexp_extract(text, '^\\s*([{T.CIRCLED}*])\\s*', 1) AS nm, row_number() OVER (PARTITION BY book_id, page ORDER BY block_ord) - 1 AS k FROM note_blocks WHERE type = 'page_footnote'
+), p AS (SELECT mm.*, n.text AS note, nm FROM mm JOIN n USING (book_id, page, k)), bad AS (SELECT book_id, page, min(k) AS b FROM p WHERE nm <> '' AND nm <> mk GROUP BY ALL)
+SELECT book_id, CAST(page AS BIGINT) AS page, k, mk, before, after, note FROM p LEFT JOIN bad USING (book_id, page) WHERE b IS NULL OR k < b""")
+def footnote_pairing(spark, sf_dir):
+    blocks = X.NOTE_BLOCKS.df(spark)
+    out = footnotes.paired(footnotes.marks(blocks), footnotes.notes(blocks))
+    return out.select("book_id", F.col("page").cast("bigint").alias("page"), F.col("k").cast("bigint").alias("k"), "mk", "before", "after", "note")
+
+
+@query(f"{_with(X.NOTE_PAGES)} SELECT book_id, CAST(page AS BIGINT) AS page, CAST(n AS BIGINT) AS n, CAST(sum(n) OVER (PARTITION BY book_id ORDER BY page) - n + 1 AS BIGINT) AS first_number FROM note_pages WHERE ok")
+def footnote_numbering(spark, sf_dir):
+    out = footnotes.numbered(X.NOTE_PAGES.df(spark))
+    return out.select("book_id", *[F.col(c).cast("bigint").alias(c) for c in ("page", "n", "first_number")])
+
+
+@query()
+def footnote_normalise(spark, sf_dir):
+    texts = spark.createDataFrame([("n", "他说①这是真的。\n\n① 大意。\n甲①乙②丙。\\*丁\n\n①注一\n没有标记的注\n没有注①。\n")], "book_id string, text string")
+    return footnotes.normalise(texts, X.NOTE_BLOCKS.df(spark))
+
+
+# --- verification and arbitration ---
+
+
+def _routed(spark):
+    flags = X.READ_FLAGS.df(spark).withColumn("bbox", F.when(F.col("has_box"), F.array(*[F.lit(x) for x in (0.1, 0.1, 0.5, 0.2)]))).drop("has_box")
+    return verifying.route_readings(flags, X.READS.df(spark), X.VETOES.df(spark))
+
+
+_ROUTE = f"""x AS (SELECT f.*, r.ok, coalesce(r.text, '') AS read, v.veto, r.idx IS NOT NULL AS seen FROM read_flags f LEFT JOIN reads r ON r.book_id = f.book_id AND r.idx = f.idx LEFT JOIN vetoes v ON v.book_id = f.book_id AND v.idx = f.idx
+), y AS (SELECT *, CASE WHEN kind IN ('unbalanced_pair', 'page_open_quote') THEN {_norm("text", T.QUOTED_DROPS)} ELSE {_norm("text", T.VERIFY_DROPS)} END AS a, CASE WHEN kind IN ('unbalanced_pair', 'page_open_quote') THEN {_norm("read", T.QUOTED_DROPS)} ELSE {_norm("read", T.VERIFY_DROPS)} END AS b FROM x)"""
+
+
+@query(f"""{_with(X.READ_FLAGS, X.READS, X.VETOES, _ROUTE)} SELECT book_id, CAST(idx AS BIGINT) AS idx, CASE WHEN NOT has_box THEN 'no_box' WHEN NOT seen THEN 'unread' WHEN NOT ok THEN 'failed_read' WHEN b = '' OR a = b THEN 'confirmed'
+  WHEN length({_keep("read", T.TRADITIONAL_IN_READINGS)}) > length({_keep("text", T.TRADITIONAL_IN_READINGS)}) THEN 'traditional' WHEN length(read) / greatest(length(text), 1) NOT BETWEEN 0.8 AND 2.0 THEN 'ratio' WHEN coalesce(veto, FALSE) THEN 'vetoed' ELSE 'proposed' END AS route
+FROM y WHERE kind <> 'unbalanced_pair'""")
+def verify_routing(spark, sf_dir):
+    return _routed(spark).filter("kind <> 'unbalanced_pair'").select("book_id", F.col("idx").cast("bigint").alias("idx"), "route")
+
+
+@query(f"""{_with(X.ITEMS, X.LOCAL_VERDICTS, X.EXTERNAL_VERDICTS)}, x AS (SELECT i.*, coalesce(l.supports, 'none') AS s, trim(coalesce(l.reason, '')) AS r, e.supports AS xs FROM items i LEFT JOIN local_verdicts l USING (book_id, item_ord) LEFT JOIN external_verdicts e USING (book_id, item_ord)
+), y AS (SELECT *, (s NOT IN ('A', 'B', 'C') OR r IN ('一句话', '', '…', '...')) AND coalesce(xs IN ('A', 'B'), FALSE) AS outside FROM x
+), z AS (SELECT *, CASE WHEN outside THEN xs ELSE s END AS supports, CASE WHEN outside THEN 'external' ELSE 'local' END AS tier, trim(judge) AS j, trim(vlm) AS v FROM y
+), d AS (SELECT *, CASE WHEN supports = 'C' AND j <> '' AND {_norm("j")} <> {_norm("old")} AND length(j) < 0.8 * length(old) THEN 'shrinks'
+    WHEN supports = 'B' AND v <> '' AND {_norm("v")} <> {_norm("old")} AND length(v) >= 0.8 * length(old) THEN 'apply' WHEN supports = 'C' AND j <> '' AND {_norm("j")} <> {_norm("old")} THEN 'apply' ELSE 'keep' END AS decision FROM z)
+SELECT book_id, CAST(item_ord AS BIGINT) AS item_ord, old, CASE WHEN decision = 'apply' THEN CASE WHEN supports = 'B' THEN v ELSE j END END AS new, supports, tier, decision FROM d""")
+def arbitration_decisions(spark, sf_dir):
+    out = verifying.decide(X.ITEMS.df(spark), X.LOCAL_VERDICTS.df(spark), X.EXTERNAL_VERDICTS.df(spark))
+    return out.withColumn("item_ord", F.col("item_ord").cast("bigint"))
+
+
+@query()
+def arbitration_applied(spark, sf_dir):
+    decided = arbitration_decisions(spark, sf_dir).filter("decision = 'apply'").withColumnRenamed("item_ord", "ord")
+    texts = spark.createDataFrame([("i", "甲乙丙丁戊，一二三四五。子丑寅卯！未申酉与未申酉。")], "book_id string, text string")
+    return verifying.apply_unique(texts, decided)[1]
+
+
+@query()
+def mechanical_strips(spark, sf_dir):
+    flags = B.flags(X.FLAG_BLOCKS.df(spark)).withColumn("idx", F.col("page") * 100 + F.col("block_ord"))
+    texts = spark.createDataFrame([("f", "# 梁启超 002\n路 12 与 路 12")], "book_id string, text string")
+    return verifying.apply_unique(texts, verifying.page_number_strips(flags))[0]
+
+
+@query(f"""{_with(_DOC_BLOCKS)} SELECT page AS doc_id, left(string_agg(text, ' ' ORDER BY block_ord), 400) AS context FROM doc_blocks GROUP BY page""")
+def page_context(spark, sf_dir):
+    return B.page_context(R.document_blocks(_table(spark, sf_dir, "documents"))).select(F.col("page").alias("doc_id"), "context")
+
+
+@query()
+def layout_blocks(spark, sf_dir):
+    return R.read_blocks(X.PARSED.df(spark)).withColumn("bbox", _joined(T.expanded_box(F.col("bbox"))))
