@@ -92,7 +92,7 @@ def zip_entries(archives: DataFrame) -> DataFrame:
 
 
 def _xml(column: Column) -> Column:
-    return F.regexp_replace(F.decode(column, F.lit("UTF-8")), r"(?s)<!DOCTYPE.*?>", "")
+    return F.regexp_replace(F.decode(column, "UTF-8"), r"(?s)<!DOCTYPE.*?>", "")
 
 
 def package_of(entries: DataFrame) -> DataFrame:
