@@ -206,20 +206,19 @@ def ascending_runs(rows: list[tuple], key: Callable) -> list[list[tuple]]:
 
 
 def merge_index(runs: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
-    """The entries of ``runs`` in global order: partitions follow each other by (url_key, ts, page_id), each merged from its pieces of runs."""
+    """The entries of ``runs`` with their place in the global order: ranges follow each other by (url_key, ts, page_id), and
+    ``position`` counts within a range, which is merged from its pieces of runs. A URL's capture history is its entries by place.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = [r for b in batches for r in zip(*(b.column(c).to_pylist() for c in _ENTRY_NAMES), strict=True)]
-        part: list[tuple] = []
-        for entry in LoserTree([iter(r) for r in ascending_runs(rows, order_of)], order_of):
-            part.append(entry)
-            if len(part) == 10_000:
-                yield _entries(part)
-                part = []
-        yield _entries(part)
+        merged = list(LoserTree([iter(r) for r in ascending_runs(rows, order_of)], order_of))
+        out = _entries(merged)
+        place = [pa.array([TaskContext.get().partitionId()] * len(merged), pa.int32()), pa.array(range(len(merged)), pa.int64())]
+        yield pa.RecordBatch.from_arrays([*out.columns, *place], names=[*_ENTRY_NAMES, "range_no", "position"])
 
     n = max(1, -(-runs.count() // range_rows), min(shuffle_width(runs.sparkSession), 12))
-    return written(runs.repartitionByRange(n, "url_key", "ts", "page_id").mapInArrow(run, _ENTRY), "capture-index")
+    return written(runs.repartitionByRange(n, "url_key", "ts", "page_id").mapInArrow(run, f"{_ENTRY}, range_no int, position long"), "capture-index")
 
 
 _READ = "page_id long, url_key string, ts long, record_type string, refers_to long, payload binary, payload_digest string, intact boolean"
