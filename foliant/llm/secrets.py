@@ -35,8 +35,7 @@ RULES: dict[str, tuple[str, int, int, int]] = {
     "private_key": (r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----", 0, 20, 1),
 }
 BASE = ("assign", "access", "hex")
-#: A cheap test that every match of the rule passes; None: none is cheaper than the rule.
-#: Hex runs are found by their least length at once, which gives the same matches of that length or more.
+#: What is searched instead of the rule where that is cheaper. Runs are found by their least length at once, which gives the same matches of that length or more.
 SCANNED = {"hex": r"[0-9a-f]{24,}", "access": r"AKIA[A-Z0-9]{16,}"}
 
 _SPAN = "array<struct<start: long, kind_no: int, kind: string, end: long>>"
@@ -69,10 +68,6 @@ def spans_of(text: Column, kind: str) -> Column:
     return F.when(F.regexp_like(text, pattern), start).otherwise(F.array().cast(_SPAN))
 
 
-def rule_versions(spark: SparkSession, kinds: list[str]) -> DataFrame:
-    return spark.createDataFrame([(k, RULES[k][3]) for k in kinds], "kind string, version int")
-
-
 def unseen(blobs: DataFrame, ledger: DataFrame | None, kinds: list[str]) -> DataFrame:
     """(sha, row, kinds), a row for each blob that lacks a scan by the current version of any rule."""
     every = F.array(*[F.struct(F.lit(k).alias("kind"), F.lit(RULES[k][3]).alias("version")) for k in kinds])
