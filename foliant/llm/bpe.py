@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from foliant.llm.common import shuffle_width, table, written
+from foliant.llm.common import lean, shuffle_width, table, written
 
 CHUNK_CHARS = 32_768
 OVERLAP_CHARS = 512
@@ -142,7 +142,7 @@ def _encode_rows(ranks_path: str, pattern: str):
         def flush():
             return _batch(["row", "doc_id", "piece", "ids"], list(zip(*rows, strict=True)), _PIECE_TYPES)
 
-        for b in batches:
+        for b in (b.slice(lo, 500) for b in batches for lo in range(0, b.num_rows, 500)):
             for row, doc, piece, text in zip(*(b.column(c).to_pylist() for c in ("row", "doc_id", "piece", "text")), strict=True):
                 if held and held[:3] == (row, doc, piece):
                     held[3].append(text or "")
@@ -214,7 +214,7 @@ def encode(
     base = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
     )
-    short = base.filter(F.length("text") <= chunk_chars).withColumn("piece", F.lit(0)).mapInArrow(_encode_rows(ranks_path, pattern), _PIECE)
+    short = base.filter(F.length("text") <= chunk_chars).withColumn("piece", F.lit(0)).mapInArrow(lean(_encode_rows(ranks_path, pattern)), _PIECE)
 
     n = shuffle_width(docs.sparkSession)
     chunks = written(
@@ -240,7 +240,7 @@ def encode(
         "row", "doc_id", "piece", "chunk",
         F.col("text").substr(start + 1, F.lit(chunk_chars) + F.coalesce(F.col("next_cut"), F.lit(0)) - start).alias("text"),
     )
-    long = parts.repartition(n, "row", "piece").sortWithinPartitions("row", "piece", "chunk").mapInArrow(_encode_rows(ranks_path, pattern), _PIECE)
+    long = parts.repartition(n, "row", "piece").sortWithinPartitions("row", "piece", "chunk").mapInArrow(lean(_encode_rows(ranks_path, pattern)), _PIECE)
     # one task reads all pieces of a row in order when it folds them
     return short.unionByName(long.repartition(n, "row").sortWithinPartitions("row", "piece"))
 
@@ -291,7 +291,7 @@ def digests(pieces: DataFrame, ranks_path: str | None = None, pattern: str | Non
         if out:
             yield _digest_batch(out)
 
-    return pieces.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return pieces.mapInArrow(lean(run), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def _digest_batch(rows: list[tuple]) -> pa.RecordBatch:

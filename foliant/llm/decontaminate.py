@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliant.llm.common import keep_rows, row_key, table, written
+from foliant.llm.common import keep_rows, lean, row_key, table, written
 
 WINDOW_WORDS = 10
 #: Words of test items that are broadcast at once (some tens of MB).
@@ -80,7 +80,7 @@ def count_terms(docs: DataFrame, text_col: str, terms: list[bytes]) -> dict[byte
                 found.update(filter(wanted.__contains__, words_of(text.as_py())))
         yield pa.RecordBatch.from_arrays([pa.array(found.keys(), pa.binary()), pa.array(found.values(), pa.int64())], names=["term", "n"])
 
-    counted = docs.select(F.col(text_col).alias("text")).mapInArrow(run, "term binary, n long")
+    counted = docs.select(F.col(text_col).alias("text")).mapInArrow(lean(run), "term binary, n long")
     return {bytes(r["term"]): r["n"] for r in counted.groupBy("term").agg(F.sum("n").alias("n")).toLocalIterator()}
 
 
@@ -122,7 +122,7 @@ def build_index(docs: DataFrame, queries: Queries, id_col: str = "doc_id", text_
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), row_key(id_col, text_col).alias("k64"), F.col(text_col).alias("text")
     )
-    return rows.mapInArrow(run, _INDEX)
+    return rows.mapInArrow(lean(run), _INDEX)
 
 
 def _phrase(at: dict[int, int], start: int, rest: list[tuple[int, int]], ids: list[int], anchor: int, slop: int) -> tuple[int, int] | None:

@@ -40,12 +40,14 @@ def nearby_errors() -> tuple[np.ndarray, np.ndarray]:
 
 
 @lru_cache(maxsize=1)
-def syndrome_table() -> np.ndarray:
-    return syndromes(np.arange(1 << LENGTH, dtype=np.int64)).astype(np.int16)
+def _halves() -> tuple[np.ndarray, np.ndarray]:
+    """Syndromes of the low 12 and of the high 11 bits; a word's syndrome is their sum, so no table of all words is needed."""
+    return syndromes(np.arange(1 << 12)), syndromes(np.arange(1 << (LENGTH - 12)) << 12)
 
 
 def nearby_indices(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(n, 6) 12-bit indices of the codewords within 4 bits of each 23-bit word, and how many hold (1 or 6)."""
     table, count = nearby_errors()
-    s = syndrome_table()[words]
+    low, high = _halves()
+    s = low[words & 0xFFF] ^ high[words >> 12]
     return (words[:, None] ^ table[s]) >> (LENGTH - DATA_BITS), count[s]

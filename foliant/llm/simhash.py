@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliant.llm import golay
-from foliant.llm.common import forget, row_key, shuffle_width, table, written
+from foliant.llm.common import forget, lean, row_key, shuffle_width, table, written
 
 SHINGLE_WORDS = 4
 SEED = 42
@@ -80,7 +80,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([b.column("id"), b.column("k64"), pa.array(fps, pa.int64())], names=["id", "k64", "fp"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), row_key(id_col, text_col).alias("k64"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "id long, k64 long, fp long")
+    return rows.mapInArrow(lean(run), "id long, k64 long, fp long")
 
 
 def keys_of(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -240,8 +240,8 @@ def _verify_blocks(bits: int):
 def links(distinct: DataFrame, bits: int = MAX_BITS, block: int = BLOCK) -> DataFrame:
     """(a, b) with b < a among distinct fingerprints ``fp``: connects exactly what links of ``bits`` or fewer connect."""
     n = shuffle_width(distinct.sparkSession)
-    keyed = distinct.select("fp").repartition(n).mapInArrow(_keyed, "key long, fp long").repartition(n, "key").sortWithinPartitions("key")
-    found = written(keyed.mapInArrow(_verify(bits, block), _WORK), "simhash-links")
+    keyed = distinct.select("fp").repartition(n).mapInArrow(lean(_keyed), "key long, fp long").repartition(n, "key").sortWithinPartitions("key")
+    found = written(keyed.mapInArrow(lean(_verify(bits, block)), _WORK), "simhash-links")
     far = found.filter("key IS NOT NULL").repartition(n, "key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_verify_blocks(bits), _WORK)
     return found.filter("key IS NULL").select("a", "b").unionByName(far.select("a", "b")).filter("a <> b").distinct()
 

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliant.llm.common import forget, table, written
+from foliant.llm.common import forget, lean, table, written
 
 #: Labelled rows that entries are mined from and the classifier is trained on, at most.
 MAX_LABELLED = 20_000
@@ -61,7 +61,7 @@ _UNMASKED = bytes(ord(chr(b).translate(LOOKALIKES)) if b < 128 and chr(b).transl
 _INSULTS = frozenset(w.encode() for w in INSULTS)
 _YOU_ARE = re.compile(rb"\byou (?:are|re)(?: an?| so| such an?)? (%s)\b" % b"|".join(sorted(_INSULTS)))
 #: Words a worker remembers the entries of.
-MEMO_WORDS = 200_000
+MEMO_WORDS = 100_000
 
 
 def words_of(text: str) -> list[bytes]:
@@ -215,7 +215,7 @@ def mine_entries(rows: DataFrame, max_entries: int = MAX_ENTRIES, min_rows: int
                 found = [*entries_of(words_of(text)), b""]
                 yield pa.RecordBatch.from_arrays([pa.array(found), pa.array([label] * len(found), pa.int32())], names=["entry", "label"])
 
-    seen = rows.mapInArrow(run, "entry binary, label int").groupBy("entry").agg(F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("other"))
+    seen = rows.mapInArrow(lean(run), "entry binary, label int").groupBy("entry").agg(F.sum("label").alias("toxic"), F.sum(1 - F.col("label")).alias("other"))
     total = seen.filter(F.octet_length("entry") == 0).first()
     if not total or not total["toxic"]:
         return [], 0.1
@@ -284,7 +284,7 @@ def features(docs: DataFrame, shared, id_col: str, text_col: str) -> DataFrame:
                 values = pa.array([x[i] for x, i in zip(rows, at, strict=True)], pa.list_(pa.float32()))
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(at, pa.list_(pa.int32())), values], names=["id", "at", "value"])
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {docs.schema[id_col].dataType.simpleString()}, at array<int>, value array<float>")
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(lean(run), f"id {docs.schema[id_col].dataType.simpleString()}, at array<int>, value array<float>")
 
 
 def dense(at: pa.Array, value: pa.Array, width: int) -> np.ndarray:
