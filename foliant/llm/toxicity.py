@@ -44,6 +44,9 @@ VOTERS = 12
 PREFIXES = (4, 5, 6)
 THRESHOLD = 0.3
 
+#: Rates of votes on toxic and on other texts that voters are given before data, and the texts that counts for.
+USUAL_RATES, USUAL_TEXTS = (0.25, 0.01), 500
+
 #: Insults that voters know without labels.
 INSULTS = (
     "arse arsehole asshole bastard bitch bullshit clown cretin crap cunt damn degenerate dickhead disgusting dumb dumbass fag faggot "
@@ -137,6 +140,9 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(np.log(self.prior / (1 - self.prior)) + odds.sum(axis=1), -30, 30)))
 
     def score(self, features: np.ndarray) -> np.ndarray:
+        if not len(self.weights):  # nothing was learned from labels: the label model alone
+            votes_at = len(self.entries)
+            return self.posterior(np.atleast_2d(features)[:, votes_at : votes_at + self.n_votes].astype(np.float64))
         return 1 / (1 + np.exp(-np.clip(features @ self.weights, -30, 30)))
 
 
@@ -149,26 +155,29 @@ def label_model(moments: np.ndarray, n: int, prior: float, rounds: int = 5) -> t
     spread = np.sqrt(np.clip(mean * (1 - mean), 1e-12, None))
     live = (mean > 0) & (mean < 1)
     use = np.outer(live, live) & ~np.eye(k, dtype=bool)
-    factor = np.where(live, np.sqrt(np.clip(cov.max(axis=1, initial=0), 1e-9, None)), 0.0)
+    factor = np.zeros(k)
+    for j in np.flatnonzero(live):  # the median over pairs of other voters isn't moved by a few correlated ones
+        rest = [i for i in np.flatnonzero(live) if i != j]
+        triples = [cov[j, a] * cov[j, b] / cov[a, b] for i, a in enumerate(rest) for b in rest[:i] if abs(cov[a, b]) > 1e-12]
+        factor[j] = np.sqrt(max(0.0, float(np.median(triples)))) if triples else 0.0
     loose = np.zeros((k, k))
     for _ in range(rounds):
-        for _ in range(50):  # least squares over the pairs in use, a voter at a time
-            for j in np.flatnonzero(live):
-                others = use[j]
-                weight = (factor[others] ** 2).sum()
-                if weight > 0:
-                    factor[j] = max(0.0, (cov[j, others] * factor[others]).sum() / weight)
         loose = np.where(np.outer(live, live), (cov - np.outer(factor, factor)) / np.outer(spread, spread), 0.0)
         np.fill_diagonal(loose, 0.0)
-        limit = max(0.25, 3 * np.median(np.abs(loose[use])) if use.any() else 0.25)
+        limit = max(0.1, 3 * float(np.median(np.abs(loose[use])))) if use.any() else 0.1
         new = np.outer(live, live) & ~np.eye(k, dtype=bool) & (np.abs(loose) <= limit)
-        if (new == use).all() or not new.any(axis=1)[live].all():
+        for _ in range(50):  # least squares over the pairs that the factor explains, a voter at a time
+            for j in np.flatnonzero(live):
+                weight = (factor[new[j]] ** 2).sum()
+                if weight > 0:
+                    factor[j] = max(0.0, (cov[j, new[j]] * factor[new[j]]).sum() / weight)
+        if (new == use).all():
             break
         use = new
     lift = factor / np.sqrt(prior * (1 - prior))
     on, off = np.clip(mean + (1 - prior) * lift, 1e-4, 1 - 1e-4), np.clip(mean - prior * lift, 1e-4, 1 - 1e-4)
     rates = np.stack([np.maximum(on, off), np.minimum(on, off)], axis=1)
-    rates[~live] = 0.5  # voters that never or always vote say nothing
+    rates = (n * rates + USUAL_TEXTS * np.array(USUAL_RATES)) / (n + USUAL_TEXTS)
     return rates, np.where(np.abs(loose) > 0.05, loose, 0.0)
 
 
@@ -259,15 +268,11 @@ def train(
     second = np.array([by_cell.get(i, 0.0) for i in range(k * k)]).reshape(k, k)
     model.rates, model.correlations = label_model(second, int(by_cell.get(-1, 0)), prior)
 
-    got = featured.join(F.broadcast(known), featured.id == known._id).select("at", "value", "label").toArrow()
-    if got.num_rows:
+    if mined:
+        got = featured.join(F.broadcast(known), featured.id == known._id).select("at", "value", "label").toArrow()
         x = dense(got["at"].combine_chunks(), got["value"].combine_chunks(), model.n_features)
-    else:
-        x = np.zeros((1, model.n_features), np.float32)
-        x[0, -1] = 1
-    posterior = model.posterior(x[:, votes_at : votes_at + k].astype(np.float64))
-    label = np.array(got["label"].to_pylist(), np.float64) if got.num_rows else posterior
-    model.weights = logistic(x, (posterior + 2 * label) / 3 if mined else posterior)
+        posterior = model.posterior(x[:, votes_at : votes_at + k].astype(np.float64))
+        model.weights = logistic(x, (posterior + 2 * np.array(got["label"].to_pylist(), np.float64)) / 3)
     return model, featured
 
 
@@ -301,7 +306,7 @@ def with_score(docs: DataFrame, model: Model, text_col: str = "text", name: str
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
         model = shared.value
-        return pa.array([float(model.score(model.evidence(t.as_py()))) for t in texts], pa.float64())
+        return pa.array([float(np.squeeze(model.score(model.evidence(t.as_py())))) for t in texts], pa.float64())
 
     return docs.withColumn(name, score(F.col(text_col)))
 
