@@ -94,10 +94,12 @@ def plan_records(pages: DataFrame, id_col: str, url_col: str, html_col: str, ts_
     )
     long_ones = base.filter(F.octet_length("html") >= MIN_REVISIT_BYTES).select("page_id", "digest")
     groups = written(long_ones.groupBy("digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "payload-groups")
-    known = long_ones.join(groups, "digest").distinct().withColumnsRenamed({"page_id": "_id", "digest": "_digest"})
-    joined = base.join(known, F.col("page_id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest")), "left")
-    nth = F.row_number().over(Window.partitionBy("page_id", "digest").orderBy("url"))
-    first = F.col("_digest").isNull() | (F.col("page_id").eqNullSafe(F.col("first")) & (F.col("nth") == 1))
+    # one key without nulls, so that join and window share a single exchange of the payloads
+    key = F.coalesce("page_id", F.lit(-(1 << 63)))
+    known = long_ones.join(groups, "digest").select(key.alias("_key"), "digest", "first", F.lit(True).alias("_known")).distinct()
+    joined = base.withColumn("_key", key).join(known, ["_key", "digest"], "left")
+    nth = F.row_number().over(Window.partitionBy("_key", "digest").orderBy("url"))
+    first = F.col("_known").isNull() | (F.col("page_id").eqNullSafe(F.col("first")) & (F.col("nth") == 1))
     return joined.withColumn("nth", nth).select(
         "page_id", "url", "html", "ts", "digest",
         F.when(first, "response").otherwise("revisit").alias("kind"), F.when(~first, F.col("first")).alias("refers_to"),
