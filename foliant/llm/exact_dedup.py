@@ -109,6 +109,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """(id, k64, keep_id, group_size, kept, text_sha256), a row for each row of ``docs``."""
     named = identities(docs, id_col, text_col, block_bytes, key_bits)
     groups = named.groupBy("n_bytes", "name").agg(F.max(F.struct("id", "row")).alias("best"), F.count(F.lit(1)).alias("group_size"))
+    groups = written(groups, "dedup-groups")  # a table of its own, so that the join's side with a hot group can be split
     return named.join(groups, ["n_bytes", "name"]).select(
         "id", "k64", F.col("best.id").alias("keep_id"), "group_size", (F.col("row") == F.col("best.row")).alias("kept"), "text_sha256"
     )
