@@ -119,7 +119,7 @@ def estimate_prior(held: np.ndarray, histogram: np.ndarray, slack: float = 0.02)
     own = np.histogram(held, BINS, (0, 1))[0]
     pos = own[::-1].cumsum()[::-1] / len(held)
     unl = histogram[::-1].cumsum()[::-1] / total
-    fit = pos >= max(0.05, 10 / len(held))
+    fit = pos >= min(1.0, max(0.05, 10 / len(held)))  # the lowest threshold always counts
     ratio = (unl[fit] + slack * np.sqrt(1 / total)) / pos[fit] + slack * np.sqrt(1 / (len(held) * pos[fit]))
     return float(np.clip(ratio.min(), 0.02, 0.98))
 

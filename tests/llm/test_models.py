@@ -67,3 +67,7 @@ def test_rejected_rows_go_with_columns_kept(spark):
     labels = spark.createDataFrame([], "doc_id bigint, toxic int")
     out = toxicity.non_toxic(docs, labels)
     assert out.columns == docs.columns and {r["doc_id"] for r in out.collect()} == {2, 3}
+
+
+def test_prior_with_few_positives():
+    assert 0 < quality.estimate_prior(np.array([0.9]), np.histogram([0.2, 0.9], quality.BINS, (0, 1))[0]) < 1
