@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cached_property
 
 import numpy as np
@@ -205,16 +205,21 @@ def encode(
     pattern: str | None = None,
     chunk_chars: int = CHUNK_CHARS,
     overlap_chars: int = OVERLAP_CHARS,
+    then: tuple[Callable[[Iterator], Iterator], str] | None = None,
 ) -> DataFrame:
     """(row, doc_id, piece, ids) of every text; ids are little-endian uint32, pieces in order make the text.
 
-    Null is empty. Each row of ``docs`` is its own text, also where ids repeat.
+    Null is empty. Each row of ``docs`` is its own text, also where ids repeat. With ``then``, a function over batches of
+    pieces and its schema, that function's rows come instead, made in the same worker and in no order of pieces.
     """
     ranks_path, pattern = _defaults(ranks_path, pattern)
+    rows_of = _encode_rows(ranks_path, pattern)
+    run = lean(lambda batches: then[0](rows_of(batches))) if then else lean(rows_of)
+    schema = then[1] if then else _PIECE
     base = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
     )
-    short = base.filter(F.length("text") <= chunk_chars).withColumn("piece", F.lit(0)).mapInArrow(lean(_encode_rows(ranks_path, pattern)), _PIECE)
+    short = base.filter(F.length("text") <= chunk_chars).withColumn("piece", F.lit(0)).mapInArrow(run, schema)
 
     n = shuffle_width(docs.sparkSession)
     chunks = written(
@@ -240,7 +245,9 @@ def encode(
         "row", "doc_id", "piece", "chunk",
         F.col("text").substr(start + 1, F.lit(chunk_chars) + F.coalesce(F.col("next_cut"), F.lit(0)) - start).alias("text"),
     )
-    long = parts.repartition(n, "row", "piece").sortWithinPartitions("row", "piece", "chunk").mapInArrow(lean(_encode_rows(ranks_path, pattern)), _PIECE)
+    long = parts.repartition(n, "row", "piece").sortWithinPartitions("row", "piece", "chunk").mapInArrow(run, schema)
+    if then:
+        return short.unionByName(long)
     # one task reads all pieces of a row in order when it folds them
     return short.unionByName(long.repartition(n, "row").sortWithinPartitions("row", "piece"))
 

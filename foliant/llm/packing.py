@@ -86,8 +86,8 @@ def best_fit(lengths: list[int], row: int) -> list[list[int]]:
 _SEGMENT = "doc_id long, piece int, part int, n int, ids binary"
 
 
-def segments(pieces: DataFrame, row_tokens: int = ROW_TOKENS, id_bytes: int = 2) -> DataFrame:
-    """(doc_id, piece, part, n, ids): the ids of each piece in parts of at most ``row_tokens``, ``id_bytes`` each."""
+def segments(row_tokens: int = ROW_TOKENS, id_bytes: int = 2) -> tuple:
+    """A function over batches of pieces that gives (doc_id, piece, part, n, ids), the ids of each piece in parts of at most ``row_tokens``, ``id_bytes`` each; and its schema."""
     kind = np.dtype(f"<u{id_bytes}")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,14 +103,14 @@ def segments(pieces: DataFrame, row_tokens: int = ROW_TOKENS, id_bytes: int = 2)
             columns = list(zip(*out, strict=True)) or [[]] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["doc_id", "piece", "part", "n", "ids"])
 
-    return pieces.mapInArrow(run, _SEGMENT)
+    return run, _SEGMENT
 
 
 _PACKED = "shard int, row int, file string, n_tokens long, cu_seqlens array<int>, doc_ids array<long>, pieces array<int>, parts array<int>, ids_sha256 string"
 
 
 def pack(found: DataFrame, n_shards: int, folder: str, row_tokens: int = ROW_TOKENS, id_bytes: int = 2) -> DataFrame:
-    """A row for each packed row; the matrix is ``file``.ids, cumulative lengths .cu and position resets .pos beside it."""
+    """A row for each packed row; the matrix is ``file``.ids; beside it .cu has cumulative lengths, and .resets a bit for each token, set where positions start again at 0."""
     kind = np.dtype(f"<u{id_bytes}")
 
     def packed(shard: int, rows: list[tuple]) -> pa.RecordBatch:
@@ -124,18 +124,18 @@ def pack(found: DataFrame, n_shards: int, folder: str, row_tokens: int = ROW_TOK
         with (
             store.open_output_stream(f"{name}.ids", compression=None) as ids_file,
             store.open_output_stream(f"{name}.cu", compression=None) as cu_file,
-            store.open_output_stream(f"{name}.pos", compression=None) as pos_file,
+            store.open_output_stream(f"{name}.resets", compression=None) as reset_file,
         ):
             for at, members in enumerate(best_fit([r[3] for r in rows], row_tokens)):
                 own = [rows[i] for i in members]
                 cu = np.concatenate([[0], np.cumsum([r[3] for r in own])]).astype("<i4")
                 ids = np.full(row_tokens, PAD, kind)
                 ids[: cu[-1]] = np.frombuffer(b"".join(r[4] for r in own), kind)
-                positions = np.zeros(row_tokens, "<i4")
-                positions[: cu[-1]] = np.arange(cu[-1]) - np.repeat(cu[:-1], np.diff(cu))
+                resets = np.zeros(row_tokens, bool)
+                resets[cu[:-1]] = True
                 ids_file.write(ids.tobytes())
                 cu_file.write(np.concatenate([[len(cu)], cu]).astype("<i4").tobytes())
-                pos_file.write(positions.astype("<u2" if row_tokens <= 1 << 16 else "<i4").tobytes())
+                reset_file.write(np.packbits(resets, bitorder="little").tobytes())
                 digest = hashlib.sha256(ids.tobytes()).hexdigest()
                 out.append((shard, at, name, int(cu[-1]), cu.tolist(), [r[0] for r in own], [r[1] for r in own], [r[2] for r in own], digest))
         ints, longs = pa.list_(pa.int32()), pa.list_(pa.int64())
@@ -162,7 +162,7 @@ def pack(found: DataFrame, n_shards: int, folder: str, row_tokens: int = ROW_TOK
 def pack_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_tokens: int = ROW_TOKENS, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """The rows of :func:`pack` for all texts of ``docs``."""
     size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
-    found = segments(bpe.encode(docs, id_col, text_col), row_tokens)
+    found = bpe.encode(docs, id_col, text_col, then=segments(row_tokens))
     return pack(found, max(1, -(-size // shard_bytes)), new_path(docs.sparkSession, "matrices"), row_tokens)
 
 
