@@ -192,6 +192,13 @@ def pair_imbalance(spark, sf_dir):
     return docs.unionByName(own).select("id", F.array_join(T.pair_imbalance(F.col("t")), ",").alias("bad"))
 
 
+@query(f"SELECT doc_id AS id, {_imbalance('t')} AS bad FROM (SELECT doc_id, {_PAIR_CHARS} AS t FROM documents)")
+def pair_imbalance_whole(spark, sf_dir):
+    """Pairs out of balance in the whole text of each document; pair_imbalance counts in its first 60 characters."""
+    docs = _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.translate("text", "aeiouxyz", "《》（）「」“”").alias("t"))
+    return docs.select("id", F.array_join(T.pair_imbalance(F.col("t")), ",").alias("bad"))
+
+
 def _keep(c: str, chars: str) -> str:
     return f"regexp_replace({c}, '[^{chars}]', '', 'g')"
 
