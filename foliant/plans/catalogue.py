@@ -172,6 +172,17 @@ def norm_keys(spark, sf_dir):
     )
 
 
+@query(f"""SELECT doc_id, {_norm("text")} AS structure_key, {_norm("text", T.VERIFY_DROPS)} AS verify_key, {_norm("text", T.QUOTED_DROPS)} AS quoted_key, {_bare("text")} AS footnote_key, {_norm("text", T.QC_DROPS)} AS qc_key
+FROM documents""")
+def norm_keys_whole(spark, sf_dir):
+    """Keys of the whole text of each document; norm_keys has those of its first line."""
+    t = F.col("text")
+    return _table(spark, sf_dir, "documents").select(
+        "doc_id", T.normalised(t).alias("structure_key"), T.normalised(t, T.VERIFY_DROPS).alias("verify_key"), T.normalised(t, T.QUOTED_DROPS).alias("quoted_key"),
+        T.without_space(t).alias("footnote_key"), T.normalised(t, T.QC_DROPS).alias("qc_key"),
+    )
+
+
 def _count(c: str, char: str) -> str:
     return f"(length({c}) - length(replace({c}, '{char}', '')))"
 

@@ -13,3 +13,10 @@ def test_pair_imbalance_after_sixty_characters(spark, tmp_path):
     sf = whole_docs(spark, tmp_path, ["-" * 80 + "a", "a" + "-" * 80 + "e", "ae" + "-" * 80])
     got = {r["id"]: r["bad"] for r in catalogue.QUERIES["pair_imbalance_whole"](spark, sf).collect()}
     assert got == {0: "《》", 1: "", 2: ""}
+
+
+def test_keys_differ_after_the_first_line(spark, tmp_path):
+    sf = whole_docs(spark, tmp_path, ["same line\none，thing", "same line\nanother"])
+    a, b = sorted(catalogue.QUERIES["norm_keys_whole"](spark, sf).collect())
+    assert all(a[c] != b[c] for c in ("structure_key", "verify_key", "quoted_key", "footnote_key", "qc_key"))
+    assert a["footnote_key"] == "samelineone，thing"
