@@ -239,6 +239,14 @@ def suspicion_flags(spark, sf_dir):
     return found.select("book_id", F.col("page").cast("bigint").alias("page"), F.col("block_ord").cast("bigint").alias("block_ord"), "text", "kind", "detail", "truncated")
 
 
+@query(ORACLE_SQL["suspicion_flags"].replace("total - 6,", "total - 100,").replace("r <= 6", "r <= 100"))
+def suspicion_flags_100(spark, sf_dir):
+    """Flags with the reference pipeline's limit of 100 a book; suspicion_flags has 6."""
+    docs = R.document_blocks(_cjk_docs(spark, sf_dir)).select(F.col("page").cast("string").alias("book_id"), F.lit(0).alias("page"), "block_ord", "type", "text")
+    found = B.distinct_flags(B.flags(X.FLAG_BLOCKS.df(spark).unionByName(docs)), 100)
+    return found.select("book_id", F.col("page").cast("bigint").alias("page"), F.col("block_ord").cast("bigint").alias("block_ord"), "text", "kind", "detail", "truncated")
+
+
 @query(f"{_with(X.FLAG_BLOCKS)}, all_blocks AS (SELECT * FROM flag_blocks), {_FLAG_SQL} SELECT book_id, CAST(page AS BIGINT) AS page, CAST(block_ord AS BIGINT) AS block_ord, text FROM opened")
 def page_open_quote(spark, sf_dir):
     return B.open_quotes(X.FLAG_BLOCKS.df(spark)).select("book_id", F.col("page").cast("bigint").alias("page"), F.col("block_ord").cast("bigint").alias("block_ord"), "text")

@@ -20,3 +20,9 @@ def test_keys_differ_after_the_first_line(spark, tmp_path):
     a, b = sorted(catalogue.QUERIES["norm_keys_whole"](spark, sf).collect())
     assert all(a[c] != b[c] for c in ("structure_key", "verify_key", "quoted_key", "footnote_key", "qc_key"))
     assert a["footnote_key"] == "samelineone，thing"
+
+
+def test_seventh_flag_stays_and_the_cut_is_at_a_hundred(spark, tmp_path):
+    spark.createDataFrame([(1, "s", "\n".join(["-", *(f"的{i % 10}的 {i}" for i in range(7))])), (2, "s", "\n".join(["-", *(f"的{i % 10}的 {i}" for i in range(120))]))], "doc_id bigint, source string, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    rows = catalogue.QUERIES["suspicion_flags_100"](spark, str(tmp_path)).filter("kind = 'digit_in_word'").groupBy("book_id", "truncated").count().collect()
+    assert {(r["book_id"], r["truncated"], r["count"]) for r in rows if r["book_id"] in ("1", "2")} == {("1", 0, 7), ("2", 20, 100)}
