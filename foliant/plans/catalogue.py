@@ -278,6 +278,39 @@ def length_ratio_routing(spark, sf_dir):
     return rows.select(F.col("part_id").alias("item_id"), F.col("book_id").alias("doc_id"), F.round(T.length_ratio(old, new), 6).alias("ratio"), route.alias("route"), T.shrinks(old, new).alias("shrinks"))
 
 
+_ANCHORS_WHOLE = f"""parts AS (SELECT item_id, i - 1 AS line_no, l[i] AS part, item FROM (
+  SELECT item_id, text AS item, l, unnest(range(1, len(l) + 1)) AS i FROM (SELECT item_id, text, string_split(text, chr(10)) AS l FROM benchmark)) WHERE {_strip("l[i]")} <> ''), hits AS (
+  SELECT item_id, line_no, doc_id, item, text, CAST((length(text) - length(replace(text, part, ''))) / length(part) AS BIGINT) AS n FROM parts JOIN documents ON contains(text, part))"""
+
+
+def _anchored_whole(spark, sf_dir):
+    """Documents, items, and the hits (item_id, line_no, book_id, n) of every line of an item that isn't blank."""
+    docs = _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("book_id"), "text")
+    items = _table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("item"))
+    lines = items.select("item_id", F.posexplode(F.split("item", "\n", -1)).alias("line_no", "part")).filter(T.stripped(F.col("part")) != "")
+    parts = lines.withColumn("part_id", F.concat_ws(":", "item_id", "line_no"))
+    found = verifying.anchors(docs, parts.select("part_id", "part"))
+    return docs, items, found.join(parts.select("part_id", "item_id", "line_no"), "part_id")
+
+
+@query(f"{_with(_ANCHORS_WHOLE)} SELECT item_id, line_no, doc_id, n, n = 1 AS is_unique FROM hits")
+def unique_anchor_whole(spark, sf_dir):
+    """Every line of an item in the documents; unique_anchor searches its first line."""
+    found = _anchored_whole(spark, sf_dir)[2]
+    return found.select("item_id", F.col("line_no").cast("bigint").alias("line_no"), F.col("book_id").alias("doc_id"), "n", (F.col("n") == 1).alias("is_unique"))
+
+
+@query(f"""{_with(_ANCHORS_WHOLE)}, f AS (SELECT DISTINCT item_id, doc_id, item AS old, text AS new FROM hits)
+SELECT item_id, doc_id, round(length(new) / greatest(length(old), 1), 6) AS ratio, CASE WHEN length(new) / greatest(length(old), 1) BETWEEN 0.8 AND 2.0 THEN 'proposal' ELSE 'review' END AS route, length(new) < 0.8 * length(old) AS shrinks FROM f""")
+def length_ratio_routing_whole(spark, sf_dir):
+    """Whole items against the whole documents with a line of theirs; length_ratio_routing compares first lines."""
+    docs, items, found = _anchored_whole(spark, sf_dir)
+    rows = found.select("item_id", "book_id").distinct().join(items, "item_id").join(docs, "book_id")
+    old, new = F.col("item"), F.col("text")
+    route = F.when(T.within_ratio(old, new), "proposal").otherwise("review")
+    return rows.select("item_id", F.col("book_id").alias("doc_id"), F.round(T.length_ratio(old, new), 6).alias("ratio"), route.alias("route"), T.shrinks(old, new).alias("shrinks"))
+
+
 @query()
 def trim_to_span(spark, sf_dir):
     return X.TRIM_PAIRS.df(spark).select("pair_id", verifying.trim_to_span("old", "new").alias("t")).select("pair_id", "t.*")

@@ -26,3 +26,13 @@ def test_seventh_flag_stays_and_the_cut_is_at_a_hundred(spark, tmp_path):
     spark.createDataFrame([(1, "s", "\n".join(["-", *(f"的{i % 10}的 {i}" for i in range(7))])), (2, "s", "\n".join(["-", *(f"的{i % 10}的 {i}" for i in range(120))]))], "doc_id bigint, source string, text string").write.parquet(str(tmp_path / "documents.parquet"))
     rows = catalogue.QUERIES["suspicion_flags_100"](spark, str(tmp_path)).filter("kind = 'digit_in_word'").groupBy("book_id", "truncated").count().collect()
     assert {(r["book_id"], r["truncated"], r["count"]) for r in rows if r["book_id"] in ("1", "2")} == {("1", 0, 7), ("2", 20, 100)}
+
+
+def test_later_lines_of_an_item_are_found(spark, tmp_path):
+    text, item = "some words before a later line of the item and after", "first\n \na later line of the item"
+    sf = whole_docs(spark, tmp_path, [text, "unrelated"])
+    spark.createDataFrame([(7, item)], "item_id bigint, text string").write.parquet(f"{sf}/benchmark.parquet")
+    got = catalogue.QUERIES["unique_anchor_whole"](spark, sf).collect()
+    assert [(r["item_id"], r["line_no"], r["doc_id"], r["n"], r["is_unique"]) for r in got] == [(7, 2, 0, 1, True)]
+    got = catalogue.QUERIES["length_ratio_routing_whole"](spark, sf).collect()
+    assert [(r["item_id"], r["doc_id"], r["ratio"], r["route"]) for r in got] == [(7, 0, round(len(text) / len(item), 6), "proposal")]
