@@ -28,8 +28,6 @@ from foliant.llm.common import lean, shuffle_width, table, written
 
 CHUNK_CHARS = 32_768
 OVERLAP_CHARS = 512
-#: Entries of a worker's memo of space-delimited pieces (about 100 bytes each).
-MEMO_ENTRIES = 150_000
 
 
 class Codec:
@@ -63,19 +61,6 @@ class Codec:
         lengths = np.array([len(p) for p in parts], np.int64)
         return np.frombuffer(b"".join(parts), np.uint8), np.cumsum(lengths) - lengths, lengths
 
-    @cached_property
-    def memo(self) -> dict[str, bytes]:
-        encode = self.encoding.encode_ordinary
-
-        class Memo(dict):
-            def __missing__(self, word: str) -> bytes:
-                out = np.array(encode(" " + word), np.uint32).tobytes()
-                if len(self) < MEMO_ENTRIES:
-                    self[word] = out
-                return out
-
-        return Memo()
-
     @classmethod
     def of(cls, ranks_path: str, pattern: str) -> "Codec":
         key = (ranks_path, pattern)
@@ -84,19 +69,8 @@ class Codec:
         return cls._made[key]
 
     def encode(self, text: str) -> bytes:
-        """Ids as little-endian uint32.
-
-        No match of the pattern runs from a character that isn't white space into white space, so
-        a text may be cut before every single space and the parts encoded (and remembered) alone.
-        """
-        if "  " in text or not text:
-            return np.array(self.encoding.encode_ordinary(text), np.uint32).tobytes()
-        words = text.split(" ")
-        for i, w in enumerate(words[:-1]):  # a space after other white space is no such place
-            if w and w[-1].isspace() or i and not w:
-                return np.array(self.encoding.encode_ordinary(text), np.uint32).tobytes()
-        head = np.array(self.encoding.encode_ordinary(words[0]), np.uint32).tobytes()
-        return head + b"".join(map(self.memo.__getitem__, words[1:]))
+        """Ids as little-endian uint32."""
+        return np.array(self.encoding.encode_ordinary(text), "<u4").tobytes()
 
     def decode(self, ids: bytes) -> bytes:
         a = np.frombuffer(ids, np.uint32).astype(np.int64)
