@@ -99,9 +99,15 @@ def title_pages(changes: DataFrame, blocks: DataFrame, look_back: int = LOOK_BAC
     return best.select("book_id", "rule_ord", F.col("page").alias("emit_ord"), F.col("b.at").alias("page"), F.col("header").alias("title"), F.col("b.author").alias("author"), "rule", "confidence")
 
 
+def usable_rules(rules: DataFrame) -> DataFrame:
+    """Rules whose pattern, if they have one, compiles: patterns are data, and one that doesn't must not end the job."""
+    compiles = F.try_reflect(F.lit("java.util.regex.Pattern"), F.lit("matches"), F.coalesce("match.regex", F.lit("")), F.lit(""))
+    return rules.filter(compiles.isNotNull())
+
+
 def regex_boundaries(blocks: DataFrame, rules: DataFrame) -> DataFrame:
-    """Boundaries of text rules: on each page the first block that the rule's pattern finds, titled by a short block among the next three."""
-    rules = rules.filter((F.col("target") == "text_blocks") & (F.coalesce("match.regex", F.lit("")) != ""))
+    """Boundaries of text rules: on each page the first block that the rule's pattern finds, titled by a short block among the next three. Patterns that don't compile find nothing."""
+    rules = usable_rules(rules.filter((F.col("target") == "text_blocks") & (F.coalesce("match.regex", F.lit("")) != "")))
     rules = rules.select("book_id", "rule_ord", F.col("name").alias("rule"), F.coalesce("confidence", F.lit(0.6)).alias("confidence"), F.col("match.regex").alias("regex"))
     after = Window.partitionBy("book_id", "page").orderBy("block_ord")
     texts = blocks.filter(F.col("type").isin("text", "paragraph_title")).withColumn("next", F.array(*[F.lead("text", n).over(after) for n in (1, 2, 3)]))
@@ -142,40 +148,68 @@ def flags(blocks: DataFrame) -> DataFrame:
         F.when(isolated, "isolated_short").when(digit, "digit_in_word").when(number, "heading_pagenum").when(odd, "rare_chars_in_heading")
         .when(F.length(trad) >= 2, "trad_mix").when(F.size(pairs) > 0, "unbalanced_pair")
     )
-    detail = (
-        F.when(F.col("kind") == "isolated_short", length.cast("string")).when(F.col("kind") == "rare_chars_in_heading", rare)
-        .when(F.col("kind") == "trad_mix", F.left(trad, F.lit(6))).when(F.col("kind") == "unbalanced_pair", F.array_join(pairs, ",")).otherwise("")
+    detail = lambda kind: (
+        F.when(kind == "isolated_short", length.cast("string")).when(kind == "rare_chars_in_heading", rare)
+        .when(kind == "trad_mix", F.left(trad, F.lit(6))).when(kind == "unbalanced_pair", F.array_join(pairs, ",")).otherwise("")
     )
-    own = blocks.withColumn("kind", kind).filter("kind IS NOT NULL").withColumn("detail", detail).withColumn("emit_ord", F.lit(0))
+    # the kind is computed once a block, inside a generator: a filter on it would be pushed down with copies of the whole chain
+    found = F.filter(F.array(kind), lambda k: k.isNotNull())
+    own = blocks.select("*", F.explode(found).alias("kind")).withColumn("detail", detail(F.col("kind"))).withColumn("emit_ord", F.lit(0))
     return own.unionByName(open_quotes(blocks))
 
 
 def open_quotes(blocks: DataFrame) -> DataFrame:
-    """Pages whose first text opens a quote although the page before breaks off in a sentence; the block is the page's first with that text."""
-    body = blocks.filter((F.col("type") == "text") & ~T.is_blank(F.col("text")))
-    ends = body.groupBy("book_id", "page").agg(F.min_by("text", "block_ord").alias("first_text"), F.max_by("text", "block_ord").alias("last_text"))
-    before = ends.select("book_id", (F.col("page") + 1).alias("page"), "last_text")
-    opened = ends.drop("last_text").filter(F.startswith("first_text", F.lit("“"))).join(before, ["book_id", "page"])
-    opened = opened.filter(~T.ends_sentence(F.col("last_text"), T.SENTENCE_END_BEFORE_QUOTE)).select("book_id", "page", "first_text")
-    same = blocks.join(opened, ["book_id", "page"]).filter(T.stripped(F.col("text")) == F.col("first_text"))
-    nth = F.row_number().over(Window.partitionBy("book_id", "page").orderBy("block_ord"))
-    found = same.withColumn("_nth", nth).filter("_nth = 1").drop("_nth", "first_text")
+    """Pages whose first text opens a quote although the page before breaks off in a sentence; the block is the page's first with that text.
+
+    One scan: a page keeps its first and last text and its blocks that open a quote, and hands its last text on to the page behind it.
+    """
+    text = T.stripped(F.col("text"))
+    body = (F.col("type") == "text") & ~T.is_blank(F.col("text"))
+    own = F.struct(*[F.col(f"`{c}`") for c in blocks.columns])
+    pages = blocks.groupBy("book_id", "page").agg(
+        F.min_by(F.when(body, text), F.when(body, F.col("block_ord"))).alias("first"), F.max_by(F.when(body, text), F.when(body, F.col("block_ord"))).alias("last"),
+        F.collect_list(F.when(F.startswith(text, F.lit("“")), F.struct("block_ord", text.alias("s"), own.alias("row")))).alias("quotes"),
+    )
+    none = F.lit(None)
+    opening = F.startswith("first", F.lit("“"))
+    handed = F.array(
+        F.struct("page", F.when(opening, F.col("first")).alias("first"), F.when(opening, F.col("quotes")).alias("quotes"), none.cast("string").alias("before")),
+        F.struct((F.col("page") + 1).alias("page"), none.cast("string").alias("first"), F.when(~opening, F.col("quotes")).alias("quotes"), F.col("last").alias("before")),
+    )
+    met = pages.select("book_id", F.inline(handed)).filter("first IS NOT NULL OR before IS NOT NULL")
+    met = met.groupBy("book_id", "page").agg(F.max("first").alias("first"), F.max("before").alias("before"), F.max_by("quotes", "first").alias("quotes"))
+    met = met.filter(F.col("first").isNotNull() & F.col("before").isNotNull() & ~T.ends_sentence(F.col("before"), T.SENTENCE_END_BEFORE_QUOTE))
+    nearest = F.array_min(F.filter("quotes", lambda q: q["s"] == F.col("first")))["row"]
+    found = met.select(nearest.alias("b")).select("b.*")
     return found.withColumns({"kind": F.lit("page_open_quote"), "detail": F.lit(""), "emit_ord": F.lit(1)})
 
 
 def distinct_flags(found: DataFrame, max_flags: int | None = None, prefix: int = 50) -> DataFrame:
-    """Of flags of a book whose texts share a prefix the first; at most ``max_flags`` a book, with the number left out in ``truncated``."""
+    """Of flags of a book whose texts share a prefix the first; at most ``max_flags`` a book, with the number left out in ``truncated``.
+
+    Both sides of the last join read one exchange of the distinct flags.
+    """
     order = ["page", "block_ord", "emit_ord"]
-    first = F.row_number().over(Window.partitionBy("book_id", F.left("text", F.lit(prefix))).orderBy(*order))
-    uniq = found.withColumn("_nth", first).filter("_nth = 1").drop("_nth")
+    uniq = found.groupBy("book_id", F.left("text", F.lit(prefix)).alias("_p")).agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in found.columns]), F.struct(*order)).alias("_flag"))
     if max_flags is None:
-        return uniq
+        return uniq.select("_flag.*")
     nth = F.row_number().over(Window.partitionBy("book_id").orderBy(*order))
-    ranked = uniq.withColumn("_nth", nth).filter(F.col("_nth") <= max_flags).drop("_nth")
-    n = uniq.groupBy("book_id").agg(F.greatest(F.count(F.lit(1)) - max_flags, F.lit(0)).alias("truncated"))
+    ranked = uniq.select("_flag.*").withColumn("_nth", nth).filter(F.col("_nth") <= max_flags).drop("_nth")
+    n = uniq.groupBy("book_id").agg(F.greatest(F.count("_flag") - max_flags, F.lit(0)).alias("truncated"))
     return ranked.join(n, "book_id")
 
 
+def flag_rows(found: DataFrame) -> DataFrame:
+    """(book_id, page, type, kind, text, detail): what a report says of each flag."""
+    return found.select("book_id", "page", "type", "kind", "text", "detail")
+
+
+def flags_in_context(found: DataFrame, blocks: DataFrame, most: int = 400) -> DataFrame:
+    """Flags with the context of their page (null: none); only pages with flags are joined up."""
+    pages = found.select("book_id", "page").distinct()
+    return found.join(page_context(blocks.join(pages, ["book_id", "page"], "left_semi"), most), ["book_id", "page"], "left")
+
+
 def page_context(blocks: DataFrame, most: int = 400) -> DataFrame:
     """(book_id, page, context): the page's texts in order, joined by spaces, cut to ``most`` characters."""
     rows = blocks.groupBy("book_id", "page").agg(F.array_sort(F.collect_list(F.struct("block_ord", "text"))).alias("b"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from foliant.functions import text as T
 
+# Keys of links that need not land.
 BOILERPLATE = ("titlepage", "tableofcontents", "标题页", "目录")
 
 

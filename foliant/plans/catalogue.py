@@ -30,6 +30,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Flags of a book that go on to verification; how many more there were is told.
+MAX_FLAGS = 100
+
+
 def _joined(c) -> F.Column:
     return F.array_join(F.transform(c, lambda x: x.cast("string")), ",")
 
@@ -142,8 +146,8 @@ def cross_page_pairs(spark, sf_dir):
 
 @query()
 def reflow_cross_page(spark, sf_dir):
-    blocks = R.conversation_blocks(_table(spark, sf_dir, "conversations").withColumn("text", F.regexp_replace("text", r"\.$", "")))
-    numbered = blocks.withColumn("line_no", (F.col("page") * 100_000 + F.col("block_ord") * 2).cast("int"))
+    blocks = R.conversation_blocks(_table(spark, sf_dir, "conversations").withColumn("text", F.regexp_replace("text", r"\.$", ""))).filter("type = 'text'")
+    numbered = blocks.withColumn("line_no", (F.col("page").cast("bigint") * (1 << 32) + F.col("block_ord") * 2))
     blank = numbered.withColumns({"line_no": F.col("line_no") + 1, "text": F.lit("")})
     lines = L.reflow_lines(numbered.unionByName(blank).select("book_id", "line_no", "text"))
     return L.reflow_over_pages(lines, B.cross_page_pairs(blocks)).withColumnRenamed("book_id", "conv_id")
@@ -162,20 +166,9 @@ def localize_punctuation(spark, sf_dir):
     return docs.select("doc_id", T.localised_punctuation(F.col("text")).alias("text"))
 
 
-@query(f"""SELECT doc_id, {_norm("t")} AS structure_key, {_norm("t", T.VERIFY_DROPS)} AS verify_key, {_norm("t", T.QUOTED_DROPS)} AS quoted_key, {_bare("t")} AS footnote_key, {_norm("t", T.QC_DROPS)} AS qc_key
-FROM (SELECT doc_id, split_part(text, chr(10), 1) AS t FROM documents)""")
-def norm_keys(spark, sf_dir):
-    t = F.split_part("text", F.lit("\n"), F.lit(1))
-    return _table(spark, sf_dir, "documents").select(
-        "doc_id", T.normalised(t).alias("structure_key"), T.normalised(t, T.VERIFY_DROPS).alias("verify_key"), T.normalised(t, T.QUOTED_DROPS).alias("quoted_key"),
-        T.without_space(t).alias("footnote_key"), T.normalised(t, T.QC_DROPS).alias("qc_key"),
-    )
-
-
 @query(f"""SELECT doc_id, {_norm("text")} AS structure_key, {_norm("text", T.VERIFY_DROPS)} AS verify_key, {_norm("text", T.QUOTED_DROPS)} AS quoted_key, {_bare("text")} AS footnote_key, {_norm("text", T.QC_DROPS)} AS qc_key
 FROM documents""")
-def norm_keys_whole(spark, sf_dir):
-    """Keys of the whole text of each document; norm_keys has those of its first line."""
+def norm_keys(spark, sf_dir):
     t = F.col("text")
     return _table(spark, sf_dir, "documents").select(
         "doc_id", T.normalised(t).alias("structure_key"), T.normalised(t, T.VERIFY_DROPS).alias("verify_key"), T.normalised(t, T.QUOTED_DROPS).alias("quoted_key"),
@@ -196,20 +189,13 @@ def _imbalance(c: str) -> str:
 _PAIR_CHARS = "translate(text, 'aeiouxyz', '《》（）「」“”')"
 
 
-@query(f"SELECT doc_id AS id, {_imbalance('t')} AS bad FROM (SELECT doc_id, left({_PAIR_CHARS}, 60) AS t FROM documents) UNION ALL SELECT -1 - block_ord - 100 * page, {_imbalance('text')} FROM ({_with(X.FLAG_BLOCKS)} SELECT * FROM flag_blocks WHERE book_id = 'f')")
+@query(f"SELECT doc_id AS id, {_imbalance('t')} AS bad FROM (SELECT doc_id, {_PAIR_CHARS} AS t FROM documents) UNION ALL SELECT -1 - block_ord - 100 * page, {_imbalance('text')} FROM ({_with(X.FLAG_BLOCKS)} SELECT * FROM flag_blocks WHERE book_id = 'f')")
 def pair_imbalance(spark, sf_dir):
-    docs = _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.left(F.translate("text", "aeiouxyz", "《》（）「」“”"), F.lit(60)).alias("t"))
+    docs = _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.translate("text", "aeiouxyz", "《》（）「」“”").alias("t"))
     own = X.FLAG_BLOCKS.df(spark).filter("book_id = 'f'").select((-1 - F.col("block_ord") - 100 * F.col("page")).cast("bigint").alias("id"), F.col("text").alias("t"))
     return docs.unionByName(own).select("id", F.array_join(T.pair_imbalance(F.col("t")), ",").alias("bad"))
 
 
-@query(f"SELECT doc_id AS id, {_imbalance('t')} AS bad FROM (SELECT doc_id, {_PAIR_CHARS} AS t FROM documents)")
-def pair_imbalance_whole(spark, sf_dir):
-    """Pairs out of balance in the whole text of each document; pair_imbalance counts in its first 60 characters."""
-    docs = _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.translate("text", "aeiouxyz", "《》（）「」“”").alias("t"))
-    return docs.select("id", F.array_join(T.pair_imbalance(F.col("t")), ",").alias("bad"))
-
-
 def _keep(c: str, chars: str) -> str:
     return f"regexp_replace({c}, '[^{chars}]', '', 'g')"
 
@@ -232,18 +218,10 @@ _FLAG_SQL = f"""flagged AS (SELECT *, length(text) AS n,
 @query(f"""{_with(X.FLAG_BLOCKS, _DOC_BLOCKS)}, all_blocks AS (
   SELECT book_id, page, block_ord, type, text FROM flag_blocks UNION ALL
   SELECT page::VARCHAR, 0, block_ord, CASE WHEN block_ord = 0 THEN 'paragraph_title' ELSE 'text' END, translate(text, 'aeiou', '的一是不了') FROM doc_blocks), {_FLAG_SQL}
-SELECT book_id, CAST(page AS BIGINT) AS page, CAST(block_ord AS BIGINT) AS block_ord, text, kind, detail, greatest(total - 6, 0) AS truncated FROM ranked WHERE r <= 6""")
+SELECT book_id, CAST(page AS BIGINT) AS page, CAST(block_ord AS BIGINT) AS block_ord, text, kind, detail, greatest(total - 100, 0) AS truncated FROM ranked WHERE r <= 100""")
 def suspicion_flags(spark, sf_dir):
     docs = R.document_blocks(_cjk_docs(spark, sf_dir)).select(F.col("page").cast("string").alias("book_id"), F.lit(0).alias("page"), "block_ord", "type", "text")
-    found = B.distinct_flags(B.flags(X.FLAG_BLOCKS.df(spark).unionByName(docs)), 6)
-    return found.select("book_id", F.col("page").cast("bigint").alias("page"), F.col("block_ord").cast("bigint").alias("block_ord"), "text", "kind", "detail", "truncated")
-
-
-@query(ORACLE_SQL["suspicion_flags"].replace("total - 6,", "total - 100,").replace("r <= 6", "r <= 100"))
-def suspicion_flags_100(spark, sf_dir):
-    """Flags with the reference pipeline's limit of 100 a book; suspicion_flags has 6."""
-    docs = R.document_blocks(_cjk_docs(spark, sf_dir)).select(F.col("page").cast("string").alias("book_id"), F.lit(0).alias("page"), "block_ord", "type", "text")
-    found = B.distinct_flags(B.flags(X.FLAG_BLOCKS.df(spark).unionByName(docs)), 100)
+    found = B.distinct_flags(B.flags(X.FLAG_BLOCKS.df(spark).unionByName(docs)), MAX_FLAGS)
     return found.select("book_id", F.col("page").cast("bigint").alias("page"), F.col("block_ord").cast("bigint").alias("block_ord"), "text", "kind", "detail", "truncated")
 
 
@@ -252,38 +230,12 @@ def page_open_quote(spark, sf_dir):
     return B.open_quotes(X.FLAG_BLOCKS.df(spark)).select("book_id", F.col("page").cast("bigint").alias("page"), F.col("block_ord").cast("bigint").alias("block_ord"), "text")
 
 
-_ANCHORS = """parts AS (SELECT item_id, split_part(text, chr(10), 1) AS part FROM benchmark), hits AS (
-  SELECT item_id, doc_id, part, text, CAST((length(text) - length(replace(text, part, ''))) / length(part) AS BIGINT) AS n FROM parts JOIN documents ON contains(text, part))"""
-
-
-def _anchored(spark, sf_dir):
-    docs = _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("book_id"), "text")
-    parts = _table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("part_id"), F.split_part("text", F.lit("\n"), F.lit(1)).alias("part"))
-    return docs, parts, verifying.anchors(docs, parts)
-
-
-@query(f"{_with(_ANCHORS)} SELECT item_id, doc_id, n, n = 1 AS is_unique FROM hits")
-def unique_anchor(spark, sf_dir):
-    found = _anchored(spark, sf_dir)[2]
-    return found.select(F.col("part_id").alias("item_id"), F.col("book_id").alias("doc_id"), "n", (F.col("n") == 1).alias("is_unique"))
-
-
-@query(f"""{_with(_ANCHORS)}, f AS (SELECT item_id, doc_id, part AS old, split_part(text, chr(10), 1) AS new FROM hits)
-SELECT item_id, doc_id, round(length(new) / greatest(length(old), 1), 6) AS ratio, CASE WHEN length(new) / greatest(length(old), 1) BETWEEN 0.8 AND 2.0 THEN 'proposal' ELSE 'review' END AS route, length(new) < 0.8 * length(old) AS shrinks FROM f""")
-def length_ratio_routing(spark, sf_dir):
-    docs, parts, found = _anchored(spark, sf_dir)
-    rows = found.join(parts, "part_id").join(docs, "book_id")
-    old, new = F.col("part"), F.split_part("text", F.lit("\n"), F.lit(1))
-    route = F.when(T.within_ratio(old, new), "proposal").otherwise("review")
-    return rows.select(F.col("part_id").alias("item_id"), F.col("book_id").alias("doc_id"), F.round(T.length_ratio(old, new), 6).alias("ratio"), route.alias("route"), T.shrinks(old, new).alias("shrinks"))
-
-
-_ANCHORS_WHOLE = f"""parts AS (SELECT item_id, i - 1 AS line_no, l[i] AS part, item FROM (
+_ANCHORS = f"""parts AS (SELECT item_id, i - 1 AS line_no, l[i] AS part, item FROM (
   SELECT item_id, text AS item, l, unnest(range(1, len(l) + 1)) AS i FROM (SELECT item_id, text, string_split(text, chr(10)) AS l FROM benchmark)) WHERE {_strip("l[i]")} <> ''), hits AS (
   SELECT item_id, line_no, doc_id, item, text, CAST((length(text) - length(replace(text, part, ''))) / length(part) AS BIGINT) AS n FROM parts JOIN documents ON contains(text, part))"""
 
 
-def _anchored_whole(spark, sf_dir):
+def _anchored(spark, sf_dir):
     """Documents, items, and the hits (item_id, line_no, book_id, n) of every line of an item that isn't blank."""
     docs = _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("book_id"), "text")
     items = _table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("item"))
@@ -293,18 +245,16 @@ def _anchored_whole(spark, sf_dir):
     return docs, items, found.join(parts.select("part_id", "item_id", "line_no"), "part_id")
 
 
-@query(f"{_with(_ANCHORS_WHOLE)} SELECT item_id, line_no, doc_id, n, n = 1 AS is_unique FROM hits")
-def unique_anchor_whole(spark, sf_dir):
-    """Every line of an item in the documents; unique_anchor searches its first line."""
-    found = _anchored_whole(spark, sf_dir)[2]
+@query(f"{_with(_ANCHORS)} SELECT item_id, line_no, doc_id, n, n = 1 AS is_unique FROM hits")
+def unique_anchor(spark, sf_dir):
+    found = _anchored(spark, sf_dir)[2]
     return found.select("item_id", F.col("line_no").cast("bigint").alias("line_no"), F.col("book_id").alias("doc_id"), "n", (F.col("n") == 1).alias("is_unique"))
 
 
-@query(f"""{_with(_ANCHORS_WHOLE)}, f AS (SELECT DISTINCT item_id, doc_id, item AS old, text AS new FROM hits)
+@query(f"""{_with(_ANCHORS)}, f AS (SELECT DISTINCT item_id, doc_id, item AS old, text AS new FROM hits)
 SELECT item_id, doc_id, round(length(new) / greatest(length(old), 1), 6) AS ratio, CASE WHEN length(new) / greatest(length(old), 1) BETWEEN 0.8 AND 2.0 THEN 'proposal' ELSE 'review' END AS route, length(new) < 0.8 * length(old) AS shrinks FROM f""")
-def length_ratio_routing_whole(spark, sf_dir):
-    """Whole items against the whole documents with a line of theirs; length_ratio_routing compares first lines."""
-    docs, items, found = _anchored_whole(spark, sf_dir)
+def length_ratio_routing(spark, sf_dir):
+    docs, items, found = _anchored(spark, sf_dir)
     rows = found.select("item_id", "book_id").distinct().join(items, "item_id").join(docs, "book_id")
     old, new = F.col("item"), F.col("text")
     route = F.when(T.within_ratio(old, new), "proposal").otherwise("review")
@@ -431,22 +381,29 @@ def absorb_residue(spark, sf_dir):
     return L.absorb_residue(lines, placed.join(titles, ["book_id", "ord"]).select("book_id", "line_no", "title"))
 
 
-@query(f"""SELECT page_id, CAST(1 AS BIGINT) AS level, {_strip("h[1]")} AS title FROM (SELECT page_id, regexp_extract_all(html, '(?s)<h1>(.*?)</h1>', 1) AS h FROM pages) WHERE len(h) > 0 AND {_strip("h[1]")} <> ''""")
+_HEADINGS = "(?s)<h([1-6])[^>]*>(.*?)</h[1-6]>"
+
+
+@query(f"""WITH h AS (SELECT page_id, unnest(range(0, len(n))) AS line_no, unnest(n) AS n, unnest(t) AS t FROM (
+  SELECT page_id, regexp_extract_all(html, '{_HEADINGS}', 1) AS n, regexp_extract_all(html, '{_HEADINGS}', 2) AS t FROM pages))
+SELECT page_id, line_no, CAST(n AS BIGINT) AS level, {_strip("t")} AS title FROM h WHERE n IN ('1', '2') AND {_strip("t")} <> ''""")
 def outline(spark, sf_dir):
-    h1 = F.get(F.regexp_extract_all("html", F.lit(r"(?s)<h1>(.*?)</h1>"), F.lit(1)), F.lit(0))
-    lines = _table(spark, sf_dir, "pages").select(F.col("page_id").alias("book_id"), F.lit(0).alias("line_no"), F.concat(F.lit("# "), h1).alias("text")).filter("text IS NOT NULL")
-    return L.outline(lines).select(F.col("book_id").alias("page_id"), F.col("level").cast("bigint").alias("level"), "title")
+    """Every heading of every page, down to level 2."""
+    marks, titles = (F.regexp_extract_all("html", F.lit(_HEADINGS), F.lit(g)) for g in (1, 2))
+    found = _table(spark, sf_dir, "pages").select(F.col("page_id").alias("book_id"), F.posexplode(F.arrays_zip(marks.alias("n"), titles.alias("t"))).alias("line_no", "h"))
+    lines = found.select("book_id", "line_no", F.concat(F.repeat(F.lit("#"), F.col("h.n").cast("int")), F.lit(" "), F.col("h.t")).alias("text"))
+    return L.outline(lines).select(F.col("book_id").alias("page_id"), F.col("line_no").cast("bigint").alias("line_no"), F.col("level").cast("bigint").alias("level"), "title")
 
 
 # --- tables of contents, containers ---
 
 
-@query(f"""WITH p AS (SELECT page_id, split_part(html, '</nav>', 2) AS body, split_part(html, '</nav>', 1) AS nav FROM pages), l AS (
+@query(f"""WITH p AS (SELECT page_id, regexp_extract(html, '(?s)</nav>(.*)$', 1) AS body, split_part(html, '</nav>', 1) AS nav FROM pages), l AS (
   SELECT page_id, body, unnest(regexp_extract_all(nav, '(?s)<a[^>]+href="([^"]+)"[^>]*>(.*?)</a>', 1)) AS href, unnest(regexp_extract_all(nav, '(?s)<a[^>]+href="([^"]+)"[^>]*>(.*?)</a>', 2)) AS label FROM p)
 SELECT page_id, href, label FROM l WHERE {_norm("regexp_replace(label, '<[^>]+>', '', 'g')", T.QC_DROPS)} <> '' AND lower({_norm("label", T.QC_DROPS)}) NOT IN ('titlepage', 'tableofcontents', '标题页', '目录')
   AND NOT contains({_norm("regexp_replace(body, '<[^>]+>', '', 'g')", T.QC_DROPS)}, {_norm("regexp_replace(label, '<[^>]+>', '', 'g')", T.QC_DROPS)})""")
 def toc_landing(spark, sf_dir):
-    pages = _table(spark, sf_dir, "pages").select(F.col("page_id").alias("book_id"), F.split_part("html", F.lit("</nav>"), F.lit(1)).alias("html"), F.split_part("html", F.lit("</nav>"), F.lit(2)).alias("body"))
+    pages = _table(spark, sf_dir, "pages").select(F.col("page_id").alias("book_id"), F.split_part("html", F.lit("</nav>"), F.lit(1)).alias("html"), F.regexp_extract("html", r"(?s)</nav>(.*)\z", 1).alias("body"))
     toc = R.nav_entries(pages).withColumns({"link": F.col("href"), "href": F.lit("self"), "base": F.lit(""), "self_name": F.lit(None).cast("string")})
     files = pages.select("book_id", F.lit("self").alias("name"), F.col("body").alias("html"))
     found = integrity.toc_mismatches(toc, files).select("book_id", "ord").join(toc, ["book_id", "ord"])
@@ -485,7 +442,7 @@ def qc_checks(spark, sf_dir):
     return integrity.checks(*(x.df(spark) for x in (X.ENTRIES, X.MANIFEST, X.TOC, X.FILES)))
 
 
-@query()
+@query(f"SELECT book_id, bool_and(ok) AS passed, count(*) FILTER (WHERE NOT ok) AS n_failed FROM ({ORACLE_SQL['qc_checks']}) GROUP BY book_id")
 def qc_passed(spark, sf_dir):
     return integrity.passed(qc_checks(spark, sf_dir))
 
@@ -555,7 +512,7 @@ def book_profile(spark, sf_dir):
 
 
 @query(f"""{_with(X.CANDIDATES, X.RULE_VERDICTS, X.ADDED_RULES)}, e AS (
-  SELECT book_id, 0 AS part, ord, name, target, confidence, 'candidate' AS source FROM candidates WHERE book_id NOT IN ('a')
+  SELECT book_id, 0 AS part, ord, name, target, confidence, 'candidate' AS source FROM candidates WHERE book_id NOT IN (SELECT book_id FROM rule_verdicts)
   UNION ALL SELECT v.book_id, 0, v.ord, v.name, CASE WHEN verdict = 'adopt' THEN c.target ELSE v.target END, CASE WHEN verdict = 'adopt' THEN c.confidence ELSE v.confidence END, verdict FROM rule_verdicts v LEFT JOIN candidates c ON c.book_id = v.book_id AND c.name = v.name
     WHERE (verdict = 'adopt' AND c.name IS NOT NULL) OR (verdict = 'adjust' AND v.target <> '')
   UNION ALL SELECT book_id, 1, ord, name, target, least(coalesce(confidence, 0.7), 0.85), 'added' FROM added_rules WHERE name <> '' AND target <> '')
@@ -610,15 +567,15 @@ def _routed(spark):
     return verifying.route_readings(flags, X.READS.df(spark), X.VETOES.df(spark))
 
 
-_ROUTE = f"""x AS (SELECT f.*, r.ok, coalesce(r.text, '') AS read, v.veto, r.idx IS NOT NULL AS seen FROM read_flags f LEFT JOIN reads r ON r.book_id = f.book_id AND r.idx = f.idx LEFT JOIN vetoes v ON v.book_id = f.book_id AND v.idx = f.idx
+_ROUTE = f"""x AS (SELECT f.*, r.ok, coalesce(t.text, '') AS read, v.veto, r.idx IS NOT NULL AS seen FROM read_flags f LEFT JOIN reads r ON r.book_id = f.book_id AND r.idx = f.idx LEFT JOIN trimmed_reads t ON t.book_id = f.book_id AND t.idx = f.idx LEFT JOIN vetoes v ON v.book_id = f.book_id AND v.idx = f.idx
 ), y AS (SELECT *, CASE WHEN kind IN ('unbalanced_pair', 'page_open_quote') THEN {_norm("text", T.QUOTED_DROPS)} ELSE {_norm("text", T.VERIFY_DROPS)} END AS a, CASE WHEN kind IN ('unbalanced_pair', 'page_open_quote') THEN {_norm("read", T.QUOTED_DROPS)} ELSE {_norm("read", T.VERIFY_DROPS)} END AS b FROM x)"""
 
 
-@query(f"""{_with(X.READ_FLAGS, X.READS, X.VETOES, _ROUTE)} SELECT book_id, CAST(idx AS BIGINT) AS idx, CASE WHEN NOT has_box THEN 'no_box' WHEN NOT seen THEN 'unread' WHEN NOT ok THEN 'failed_read' WHEN b = '' OR a = b THEN 'confirmed'
+@query(f"""{_with(X.READ_FLAGS, X.READS, X.TRIMMED_READS, X.VETOES, _ROUTE)} SELECT book_id, CAST(idx AS BIGINT) AS idx, CASE WHEN NOT has_box THEN 'no_box' WHEN NOT seen THEN 'unread' WHEN NOT ok THEN 'failed_read' WHEN b = '' OR a = b THEN 'confirmed'
   WHEN length({_keep("read", T.TRADITIONAL_IN_READINGS)}) > length({_keep("text", T.TRADITIONAL_IN_READINGS)}) THEN 'traditional' WHEN length(read) / greatest(length(text), 1) NOT BETWEEN 0.8 AND 2.0 THEN 'ratio' WHEN coalesce(veto, FALSE) THEN 'vetoed' ELSE 'proposed' END AS route
-FROM y WHERE kind <> 'unbalanced_pair'""")
+FROM y""")
 def verify_routing(spark, sf_dir):
-    return _routed(spark).filter("kind <> 'unbalanced_pair'").select("book_id", F.col("idx").cast("bigint").alias("idx"), "route")
+    return _routed(spark).select("book_id", F.col("idx").cast("bigint").alias("idx"), "route")
 
 
 @query(f"""{_with(X.ITEMS, X.LOCAL_VERDICTS, X.EXTERNAL_VERDICTS)}, x AS (SELECT i.*, coalesce(l.supports, 'none') AS s, trim(coalesce(l.reason, '')) AS r, e.supports AS xs FROM items i LEFT JOIN local_verdicts l USING (book_id, item_ord) LEFT JOIN external_verdicts e USING (book_id, item_ord)

@@ -73,6 +73,8 @@ READ_FLAGS = Inline("read_flags", "book_id string, idx int, kind string, text st
 READS = Inline("reads", "book_id string, idx int, ok boolean, text string", (
     ("r", 0, True, "方法与技巧"), ("r", 2, True, "方法7，技巧"), ("r", 3, True, "證據國家"), ("r", 4, True, "一二三四五六七"), ("r", 5, True, "“甲乙”"), ("r", 6, True, ""), ("r", 7, False, "<error>"), ("r", 8, True, "上与下东西"), ("r", 10, True, "人口口多少"),
 ))
+#: READS without what they add before and behind the flagged text.
+TRIMMED_READS = Inline("trimmed_reads", READS.ddl, tuple((b, i, ok, "“甲乙" if i == 5 else t) for b, i, ok, t in READS.rows))
 VETOES = Inline("vetoes", "book_id string, idx int, veto boolean", (("r", 8, True), ("r", 10, False)))
 
 ITEMS = Inline("items", "book_id string, item_ord int, old string, vlm string, judge string", (

@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 import io
-import json
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from foliant.functions import text as T
 
@@ -37,40 +36,35 @@ def chosen_archive(files: DataFrame, stem: Column, title: Column, by: str = "boo
     return files.filter(F.endswith("name", F.lit(".zip"))).withColumn("_nth", nth).filter("_nth = 1").drop("_nth")
 
 
-def flattened(content) -> str:
-    """Text of nested content: strings, lists, and dicts by their ``content``."""
-    if isinstance(content, str):
-        return content
-    if isinstance(content, list):
-        return "".join(map(flattened, content))
-    return flattened(content.get("content", "")) if isinstance(content, dict) else ""
+#: Levels of nested content that are resolved; deeper content stays JSON text.
+CONTENT_LEVELS = 12
 
 
-@F.pandas_udf(StringType())
-def flat_content(content: pd.Series) -> pd.Series:
-    """For content that nests deeper than two levels; takes JSON text."""
-    return content.map(lambda c: flattened(json.loads(c)) if c is not None else "")
+def flat_content(content: Column, levels: int = CONTENT_LEVELS) -> Column:
+    """Text of nested content, a variant: a string itself, a list its items' texts in order, an object the text of its ``content``; anything else none."""
+    kind = F.schema_of_variant(content)
+    own = F.when(kind == "STRING", F.try_variant_get(content, "$", "string"))
+    below = F.coalesce(F.try_variant_get(content, "$", "array<variant>"), F.array(F.try_variant_get(content, "$.content", "variant")))
+    nested = kind.startswith("ARRAY") | kind.startswith("OBJECT")
+    if not levels:
+        return F.coalesce(own, F.when(nested, F.to_json(content)), F.lit(""))
+    return F.coalesce(own, F.when(nested, F.array_join(F.transform(below, lambda x: flat_content(x, levels - 1)), "")), F.lit(""))
 
 
 def read_blocks(parsed: DataFrame) -> DataFrame:
     """(book_id, page, block_ord, idx, type, text, bbox) of layout JSON (book_id, json): an object with pages or a bare list of them.
 
-    Strings and objects with string content stay native, deeper content goes through Arrow. A repeated page counts
-    as its last occurrence; blank blocks go; pages count from 0.
+    A repeated page counts as its last occurrence; blank blocks go; pages count from 0. JSON that can't be parsed has no blocks.
     """
-    tree = F.parse_json("json")
+    tree = F.try_parse_json("json")
     pages = F.coalesce(F.try_variant_get(tree, "$.pages", "array<variant>"), F.try_variant_get(tree, "$", "array<variant>"))
     rows = parsed.select("book_id", F.posexplode(pages).alias("_pos", "_page"))
     rows = rows.withColumn("page", F.coalesce(F.try_variant_get("_page", "$.page_idx", "int"), F.lit(0)))
     last = rows.groupBy("book_id", "page").agg(F.max_by(F.struct(F.try_variant_get("_page", "$.blocks", "array<variant>").alias("b"), "_pos"), "_pos").alias("p"))
     blocks = last.select("book_id", "page", F.posexplode("p.b").alias("block_ord", "_b"))
-    content = F.to_json(F.try_variant_get("_b", "$.content", "variant"))
-    kind = F.schema_of_variant(F.try_variant_get("_b", "$.content", "variant"))
-    simple = F.try_variant_get("_b", "$.content", "string")
-    text = F.when(kind == "STRING", simple).otherwise(flat_content(F.when(kind != "STRING", content)))
     blocks = blocks.select(
         "book_id", "page", "block_ord", F.coalesce(F.try_variant_get("_b", "$.type", "string"), F.lit("text")).alias("type"),
-        T.stripped(F.coalesce(text, F.lit(""))).alias("text"), F.try_variant_get("_b", "$.bbox", "array<double>").alias("bbox"),
+        T.stripped(flat_content(F.try_variant_get("_b", "$.content", "variant"))).alias("text"), F.try_variant_get("_b", "$.bbox", "array<double>").alias("bbox"),
     ).filter("text <> ''")
     idx = F.row_number().over(Window.partitionBy("book_id").orderBy("page", "block_ord")) - 1
     return blocks.withColumn("idx", idx)
@@ -80,13 +74,28 @@ _ENTRIES = "book_id string, ord int, name string, compress_type int, content bin
 
 
 def zip_entries(archives: DataFrame) -> DataFrame:
-    """(book_id, ord, name, compress_type, content) of archives (book_id, content), in the order of each container."""
+    """(book_id, ord, name, compress_type, content) of archives (book_id, content), in the order of each container.
+
+    An entry that can't be read has null content; an archive that can't be opened gives no rows (its checks then fail for want of entries).
+    """
+
+    def content_of(z: zipfile.ZipFile, entry: zipfile.ZipInfo) -> bytes | None:
+        try:
+            return z.read(entry)
+        except (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError, RuntimeError):
+            return None
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             for book, content in zip(part["book_id"], part["content"], strict=True):
-                with zipfile.ZipFile(io.BytesIO(content)) as z:
-                    yield pd.DataFrame([(book, i, e.filename, e.compress_type, z.read(e)) for i, e in enumerate(z.infolist())], columns=["book_id", "ord", "name", "compress_type", "content"])
+                if content is None or not zipfile.is_zipfile(io.BytesIO(content)):
+                    continue
+                try:
+                    with zipfile.ZipFile(io.BytesIO(content)) as z:
+                        rows = [(book, i, e.filename, e.compress_type, content_of(z, e)) for i, e in enumerate(z.infolist())]
+                except zipfile.BadZipFile:
+                    continue
+                yield pd.DataFrame(rows, columns=["book_id", "ord", "name", "compress_type", "content"])
 
     return archives.select(F.col("book_id").cast("string").alias("book_id"), "content").mapInPandas(run, _ENTRIES)
 
@@ -129,6 +138,22 @@ def ncx_entries(pages: DataFrame, text_col: str = "xml") -> DataFrame:
     return rows.select("book_id", "ord", "e.href", "e.label")
 
 
+def package_links(entries: DataFrame, packages: DataFrame, manifest: DataFrame) -> DataFrame:
+    """(book_id, ord, href, label, base, self_name): a container's table of contents: the links of its ``nav`` item, or, where that gives none, of its NCX file.
+
+    ``base`` is the folder the links are relative to, ``self_name`` the file they stand in.
+    """
+    named = manifest.withColumn("name", F.concat("base", "href")).join(entries.select("book_id", "name", _xml(F.col("content")).alias("_text")), ["book_id", "name"])
+    folder = F.regexp_extract("name", r"\A(.*/)?[^/]*\z", 1)
+    files = named.select("book_id", "name", folder.alias("base"), "_text", "properties", F.lower("href").alias("_href"))
+    one = lambda rows: rows.groupBy("book_id").agg(F.min_by(F.struct("name", "base", "_text"), "name").alias("f")).select("book_id", "f.*")
+    nav = one(files.filter(F.array_contains(F.split(F.coalesce("properties", F.lit("")), r"\s+"), "nav")))
+    ncx = one(files.filter(F.endswith("_href", F.lit(".ncx"))))
+    own = nav_entries(nav, "_text").join(nav.select("book_id", "base", F.col("name").alias("self_name")), "book_id")
+    other = ncx_entries(ncx, "_text").join(ncx.select("book_id", "base", F.col("name").alias("self_name")), "book_id")
+    return own.unionByName(other.join(own.select("book_id").distinct(), "book_id", "left_anti"))
+
+
 def reused_profiles(books: DataFrame, profiles: DataFrame) -> DataFrame:
     """(book_id, pdf, profile): the stored profile if it was made for the same file, else null."""
     stored = profiles.select("book_id", F.col("pdf").alias("_pdf"), F.try_parse_json("json").alias("profile"))
@@ -139,10 +164,15 @@ def reused_profiles(books: DataFrame, profiles: DataFrame) -> DataFrame:
 # --- driver tables as books ---
 
 
+def _line_texts(column: str) -> Column:
+    """block_ord and text of every line, stripped inside the generator: its output is computed once, however often it is used later."""
+    return F.posexplode(F.transform(F.split(column, "\n", -1), T.stripped)).alias("block_ord", "text")
+
+
 def document_blocks(docs: DataFrame) -> DataFrame:
     """Documents as pages of one book a source: a block for each line that isn't blank."""
-    rows = docs.select(F.col("source").alias("book_id"), F.col("doc_id").alias("page"), F.posexplode(F.split("text", "\n", -1)).alias("block_ord", "text"))
-    return rows.withColumn("text", T.stripped(F.col("text"))).filter("text <> ''").withColumn("type", F.when(F.col("block_ord") == 0, "paragraph_title").otherwise("text"))
+    rows = docs.select(F.col("source").alias("book_id"), F.col("doc_id").alias("page"), _line_texts("text"))
+    return rows.filter("text <> ''").withColumn("type", F.when(F.col("block_ord") == 0, "paragraph_title").otherwise("text"))
 
 
 def document_lines(docs: DataFrame) -> DataFrame:
@@ -151,6 +181,7 @@ def document_lines(docs: DataFrame) -> DataFrame:
 
 
 def conversation_blocks(turns: DataFrame) -> DataFrame:
-    """Conversations as books: a page for each turn, its role as header, its lines as text."""
-    rows = turns.select(F.col("conv_id").alias("book_id"), F.col("turn").alias("page"), F.posexplode(F.split("text", "\n", -1)).alias("block_ord", "text"))
-    return rows.withColumn("text", T.stripped(F.col("text"))).filter("text <> ''").withColumn("type", F.lit("text"))
+    """Conversations as books: a page for each turn, its lines as text, and behind them its role as a header."""
+    rows = turns.select(F.col("conv_id").alias("book_id"), F.col("turn").alias("page"), _line_texts("text")).filter("text <> ''")
+    heads = turns.select(F.col("conv_id").alias("book_id"), F.col("turn").alias("page"), F.size(F.split("text", "\n", -1)).alias("block_ord"), T.stripped(F.col("role")).alias("text"))
+    return rows.withColumn("type", F.lit("text")).unionByName(heads.filter("text <> ''").withColumn("type", F.lit("header")))
