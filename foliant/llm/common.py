@@ -7,12 +7,16 @@ import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Used only where the session names no checkpoint folder (single-machine tests).
 LOCAL_SHARED = "/tmp/foliant-shared"
+#: Tasks that add up the partitions' sums, and rows of sums that reach the driver.
+SUMMING_TASKS = 4
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,6 +76,28 @@ def lean(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     return wrapped
 
 
+def summed(rows: DataFrame, part: Callable[[pa.RecordBatch], np.ndarray], size: int) -> np.ndarray:
+    """Sum over all rows of a vector of ``size`` numbers: ``part`` gives that of a batch; partitions are added up in a few tasks, so the driver gets a few rows."""
+
+    def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size)
+        for b in batches:
+            if b.num_rows:
+                total += part(b)
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["part"])
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size)
+        for b in batches:
+            for x in b.column("part"):
+                total += np.frombuffer(x.as_py())
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["part"])
+
+    parts = rows.mapInArrow(within, "part binary")
+    parts = parts.repartition(SUMMING_TASKS).mapInArrow(added, "part binary")
+    return sum((np.frombuffer(r["part"]) for r in parts.collect()), start=np.zeros(size))
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -81,10 +107,11 @@ def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
     return F.xxhash64(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")))
 
 
-def keep_rows(docs: DataFrame, kept: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows of ``docs`` whose (id, row key) is in ``kept(id, k64)``; of exact repeats of a row, one.
+def keep_rows(docs: DataFrame, kept: DataFrame, id_col: str = "doc_id", text_col: str = "text", one: bool = False) -> DataFrame:
+    """Rows of ``docs`` whose (id, row key) is in ``kept(id, k64)``: all of them, or with ``one`` a single row of each id and text.
 
-    All columns of ``docs`` come back unchanged, also ones named like the helper columns.
+    All columns of ``docs`` come back unchanged, also ones named like the helper columns. Which one stays of rows that
+    differ in other columns follows from a hash of those columns, not from the order of rows.
     """
     names = docs.columns
     left = docs.select(
@@ -92,4 +119,17 @@ def keep_rows(docs: DataFrame, kept: DataFrame, id_col: str = "doc_id", text_col
     )
     right = kept.select(F.col("id").alias("_id2"), F.col("k64").alias("_k2")).distinct()
     joined = left.join(right, (F.col("_k") == F.col("_k2")) & F.col("_id").eqNullSafe(F.col("_id2")), "left_semi")
-    return joined.dropDuplicates(["_k", "_id"]).select(*[F.col("_row").getField(c).alias(c) for c in names])
+    if one:
+        rank = F.xxhash64(*[F.col("_row").getField(f.name) for f in docs.schema if f.dataType.typeName() not in ("map", "variant")])
+        joined = joined.groupBy("_k", "_id").agg(F.min_by("_row", rank).alias("_row"))
+    return joined.select(*[F.col("_row").getField(c).alias(c) for c in names])
+
+
+#: Schemes that Spark and Arrow name differently.
+_SCHEMES = {"s3a": "s3", "s3n": "s3", "wasbs": "abfss", "wasb": "abfs", "gcs": "gs"}
+
+
+def store_of(folder: str) -> tuple[fs.FileSystem, str]:
+    """Arrow's file system and path of a folder named as Spark names it."""
+    scheme, colon, rest = folder.partition(":")
+    return fs.FileSystem.from_uri(f"{_SCHEMES.get(scheme, scheme)}{colon}{rest}")
