@@ -195,5 +195,10 @@ def expanded_box(box: Column, margin: float = 0.15) -> Column:
     return F.array(F.greatest(zero, x0 - dx), F.greatest(zero, y0 - dy), F.least(one, x1 + dx), F.least(one, y1 + dy))
 
 
+def box_on_page(box: Column, width: Column, height: Column) -> Column:
+    """A box in shares of the page, scaled to a page of that size."""
+    return F.array(box[0] * width, box[1] * height, box[2] * width, box[3] * height)
+
+
 def confidence(n: Column, start: float, step: float, most: float) -> Column:
     return F.least(F.lit(most), F.lit(start) + F.lit(step) * n)

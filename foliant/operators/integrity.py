@@ -30,8 +30,12 @@ def toc_mismatches(toc: DataFrame, files: DataFrame) -> DataFrame:
     return rows.withColumn("reason", reason).filter("reason IS NOT NULL").select("book_id", "ord", "href", "label", "reason")
 
 
-def checks(entries: DataFrame, manifest: DataFrame, toc: DataFrame, files: DataFrame) -> DataFrame:
-    """(book_id, name, ok, n): the six checks of each container; entries (book_id, ord, name, compress_type)."""
+def checks(entries: DataFrame, manifest: DataFrame, toc: DataFrame, files: DataFrame, packages: DataFrame | None = None) -> DataFrame:
+    """(book_id, name, ok, n): the six checks of each container; entries (book_id, ord, name, compress_type).
+
+    ``packages`` (book_id): containers whose package file was found and read; without it those that have a container entry. For
+    others the checks end with the failed container, as there is nothing to check further.
+    """
     books = entries.select("book_id").distinct()
     first = entries.groupBy("book_id").agg(F.min_by(F.struct("name", "compress_type"), "ord").alias("f"), F.count_if(F.col("name") == "META-INF/container.xml").alias("n_container"))
     gone = missing_files(manifest, entries).groupBy("book_id").agg(F.count(F.lit(1)).alias("n_missing"))
@@ -40,20 +44,27 @@ def checks(entries: DataFrame, manifest: DataFrame, toc: DataFrame, files: DataF
     rows = books.join(first, "book_id")
     for part in (gone, listed, wrong):
         rows = rows.join(part, "book_id", "left")
+    if packages is None:
+        rows = rows.withColumn("_read", F.col("n_container") > 0)
+    else:
+        rows = rows.join(packages.select("book_id", F.lit(True).alias("_read")).distinct(), "book_id", "left")
+    read = F.coalesce("_read", F.lit(False)) & (F.col("n_container") > 0)
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("bigint")
 
     def check(name: str, ok: Column, n: Column) -> Column:
         return F.struct(F.lit(name).alias("name"), ok.alias("ok"), n.alias("n"))
 
-    every = F.array(
+    always = [
         check("mimetype first", F.col("f.name") == "mimetype", F.lit(0).cast("bigint")),
         check("mimetype stored", F.col("f.compress_type") == 0, F.col("f.compress_type").cast("bigint")),
-        check("container present", F.col("n_container") > 0, F.col("n_container")),
+        check("container present", read, F.col("n_container")),
+    ]
+    then = [
         check("manifest complete", zero("n_missing") == 0, zero("n_missing")),
         check("toc present", zero("n_toc") > 0, zero("n_toc")),
         check("toc lands", zero("n_wrong") == 0, zero("n_wrong")),
-    )
-    return rows.select("book_id", F.inline(every))
+    ]
+    return rows.select("book_id", F.inline(F.when(read, F.array(*always, *then)).otherwise(F.array(*always))))
 
 
 def passed(found: DataFrame) -> DataFrame:

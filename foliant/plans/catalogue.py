@@ -9,8 +9,11 @@ from foliant.functions import text as T
 from foliant.operators import blocks as B
 from foliant.operators import footnotes, integrity, scouting, verifying
 from foliant.operators import lines as L
+from foliant.plans import convert
 from foliant.plans import fixtures as X
+from foliant.session import new_path
 from foliant.sources import readers as R
+from foliant.sources import writers
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -275,34 +278,76 @@ def _rules(spark: SparkSession) -> DataFrame:
 
 
 _BODY = "type IN ('text', 'paragraph_title', 'doc_title')"
-
-
-@query(f"""{_with(X.BLOCKS, X.RULES)}, h AS (
-  SELECT b.book_id, rule_ord, name, confidence, page, arg_min(text, block_ord) AS header FROM blocks b JOIN rules r ON b.book_id = r.book_id AND target = 'header_blocks' AND b.type = r.block_type
+#: A rule for every conversation (a header is the role of the turn) and for every source (lines that name a licence).
+_ROLE_RULE, _LICENCE_RULE, _LICENCE = ("role", "header_blocks", 0.75), ("licence", "text_blocks", 0.6), "[Ll]icen[cs]e"
+
+
+def _boundary_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations and documents as books, and the literal ones."""
+    turns = _table(spark, sf_dir, "conversations").withColumn("conv_id", F.concat(F.lit("conv-"), "conv_id"))
+    docs = _table(spark, sf_dir, "documents").withColumn("source", F.concat(F.lit("doc-"), "source"))
+    own = X.BLOCKS.df(spark).withColumn("page", F.col("page").cast("bigint"))
+    return own.unionByName(R.conversation_blocks(turns)).unionByName(R.document_blocks(docs))
+
+
+def _boundary_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    match = "struct<block_type: string, regex: string, max_len: int, exclude_text: array<string>, adjacent_short_block: boolean>"
+
+    def rule(books: DataFrame, of: tuple[str, str, float], block_type: str | None, regex: str | None) -> DataFrame:
+        fields = F.struct(F.lit(block_type), F.lit(regex), F.lit(None), F.lit(None), F.lit(False)).cast(match)
+        return books.distinct().select("book_id", F.lit(0).alias("rule_ord"), F.lit(of[0]).alias("name"), F.lit(of[1]).alias("target"), fields.alias("match"), F.lit(of[2]).alias("confidence"))
+
+    convs = _table(spark, sf_dir, "conversations").select(F.concat(F.lit("conv-"), "conv_id").alias("book_id"))
+    sources = _table(spark, sf_dir, "documents").select(F.concat(F.lit("doc-"), "source").alias("book_id"))
+    own = _rules(spark).withColumn("match", F.col("match").cast(match))
+    return own.unionByName(rule(convs, _ROLE_RULE, "header", None)).unionByName(rule(sources, _LICENCE_RULE, None, _LICENCE))
+
+
+_ALL_BLOCKS = f"""{_DOC_BLOCKS}, conv_lines AS (
+  SELECT 'conv-' || conv_id AS book_id, turn AS page, i - 1 AS block_ord, {_strip("l[i]")} AS text FROM (SELECT conv_id, turn, l, unnest(range(1, len(l) + 1)) AS i FROM (SELECT conv_id, turn, string_split(text, chr(10)) AS l FROM conversations))
+), all_blocks AS (
+  SELECT book_id, CAST(page AS BIGINT) AS page, block_ord, type, text FROM blocks
+  UNION ALL SELECT book_id, page, block_ord, 'text', text FROM conv_lines WHERE text <> ''
+  UNION ALL SELECT 'conv-' || conv_id, turn, len(string_split(text, chr(10))), 'header', {_strip("role")} FROM conversations WHERE {_strip("role")} <> ''
+  UNION ALL SELECT 'doc-' || book_id, page, block_ord, CASE WHEN block_ord = 0 THEN 'paragraph_title' ELSE 'text' END, text FROM doc_blocks
+), all_rules AS (
+  SELECT book_id, rule_ord, name, target, block_type, regex, exclude, confidence FROM rules
+  UNION ALL SELECT DISTINCT 'conv-' || conv_id, 0, '{_ROLE_RULE[0]}', '{_ROLE_RULE[1]}', 'header', NULL, NULL, CAST({_ROLE_RULE[2]} AS DOUBLE) FROM conversations
+  UNION ALL SELECT DISTINCT 'doc-' || source, 0, '{_LICENCE_RULE[0]}', '{_LICENCE_RULE[1]}', NULL, '{_LICENCE}', NULL, CAST({_LICENCE_RULE[2]} AS DOUBLE) FROM documents)"""
+_BY_HEADER = f"""h AS (
+  SELECT b.book_id, rule_ord, name, confidence, page, arg_min(text, block_ord) AS header FROM all_blocks b JOIN all_rules r ON b.book_id = r.book_id AND target = 'header_blocks' AND b.type = r.block_type
   WHERE exclude IS NULL OR {_norm("text")} <> {_norm("exclude")} GROUP BY ALL
 ), c AS (SELECT *, {_norm("header")} AS k, lag({_norm("header")}) OVER (PARTITION BY book_id, rule_ord ORDER BY page) AS pk FROM h
-), t AS (SELECT *, {_norm("text")} AS bk, lead(text, 1) OVER w AS a1, lead(text, 2) OVER w AS a2 FROM blocks WHERE {_BODY} WINDOW w AS (PARTITION BY book_id, page ORDER BY block_ord)
-), m AS (SELECT c.book_id, c.page AS hp, header, name, confidence, t.page, CASE WHEN bk = k THEN 0 ELSE 1 END AS rank, block_ord,
+), t AS (SELECT *, {_norm("text")} AS bk, lead(text, 1) OVER w AS a1, lead(text, 2) OVER w AS a2 FROM all_blocks WHERE {_BODY} WINDOW w AS (PARTITION BY book_id, page ORDER BY block_ord)
+), m AS (SELECT c.book_id, rule_ord, c.page AS hp, header, name, confidence, t.page, CASE WHEN bk = k THEN 0 ELSE 1 END AS rank, block_ord,
     coalesce(CASE WHEN regexp_matches(a1, '{T.AUTHOR_NAME}') THEN a1 END, CASE WHEN regexp_matches(a2, '{T.AUTHOR_NAME}') THEN a2 END, '') AS author
-  FROM c JOIN t ON c.book_id = t.book_id AND t.page BETWEEN c.page - 6 AND c.page - 1 AND (bk = k OR (length(bk) >= 2 AND (contains(k, bk) OR contains(bk, k)))) WHERE c.k IS DISTINCT FROM c.pk)
-SELECT book_id, CAST(hp AS BIGINT) AS header_page, CAST(page AS BIGINT) AS page, header AS title, author FROM (SELECT *, row_number() OVER (PARTITION BY book_id, hp ORDER BY page DESC, rank, block_ord) AS r FROM m) WHERE r = 1""")
+  FROM (SELECT *, unnest(range(page - 6, page)) AS at FROM c WHERE k IS DISTINCT FROM pk) c
+  JOIN t ON c.book_id = t.book_id AND t.page = c.at AND t.page >= 0 AND (bk = k OR (length(bk) >= 2 AND (contains(k, bk) OR contains(bk, k))))
+), by_header AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY book_id, rule_ord, hp ORDER BY page DESC, rank, block_ord) AS r FROM m) WHERE r = 1)"""
+_BY_PATTERN = """tt AS (
+  SELECT *, list_filter([lead(text, 1) OVER w, lead(text, 2) OVER w, lead(text, 3) OVER w], lambda x: length(x) BETWEEN 1 AND 30) AS short FROM all_blocks WHERE type IN ('text', 'paragraph_title') WINDOW w AS (PARTITION BY book_id, page ORDER BY block_ord)
+), pf AS (SELECT tt.book_id, rule_ord, name, confidence, page, arg_min(short, block_ord) AS short FROM tt JOIN all_rules r ON tt.book_id = r.book_id AND target = 'text_blocks' AND regexp_matches(text, regex) GROUP BY ALL
+), by_pattern AS (SELECT *, short[1] AS title, CASE WHEN len(short) > 1 AND length(short[2]) <= 4 THEN short[2] ELSE '' END AS author FROM pf WHERE len(short) > 0)"""
+
+
+@query(f"""{_with(X.BLOCKS, X.RULES, _ALL_BLOCKS, _BY_HEADER)}
+SELECT book_id, CAST(hp AS BIGINT) AS header_page, CAST(page AS BIGINT) AS page, header AS title, author FROM by_header""")
 def header_change_boundaries(spark, sf_dir):
-    blocks = X.BLOCKS.df(spark)
-    out = B.title_pages(B.header_changes(blocks, _rules(spark)), blocks)
+    blocks = _boundary_blocks(spark, sf_dir)
+    out = B.title_pages(B.header_changes(blocks, _boundary_rules(spark, sf_dir)), blocks)
     return out.select("book_id", F.col("emit_ord").cast("bigint").alias("header_page"), F.col("page").cast("bigint").alias("page"), "title", "author")
 
 
-@query(f"""{_with(X.BLOCKS, X.RULES)}, t AS (
-  SELECT *, list_filter([lead(text, 1) OVER w, lead(text, 2) OVER w, lead(text, 3) OVER w], lambda x: length(x) BETWEEN 1 AND 30) AS short FROM blocks WHERE type IN ('text', 'paragraph_title') WINDOW w AS (PARTITION BY book_id, page ORDER BY block_ord)
-), f AS (SELECT t.book_id, page, arg_min(short, block_ord) AS short FROM t JOIN rules r ON t.book_id = r.book_id AND target = 'text_blocks' AND regexp_matches(text, regex) GROUP BY ALL)
-SELECT book_id, CAST(page AS BIGINT) AS page, short[1] AS title, CASE WHEN len(short) > 1 AND length(short[2]) <= 4 THEN short[2] ELSE '' END AS author FROM f WHERE len(short) > 0""")
+@query(f"{_with(X.BLOCKS, X.RULES, _ALL_BLOCKS, _BY_PATTERN)} SELECT book_id, CAST(page AS BIGINT) AS page, title, author FROM by_pattern")
 def regex_boundaries(spark, sf_dir):
-    return B.regex_boundaries(X.BLOCKS.df(spark), _rules(spark)).select("book_id", F.col("page").cast("bigint").alias("page"), "title", "author")
+    return B.regex_boundaries(_boundary_blocks(spark, sf_dir), _boundary_rules(spark, sf_dir)).select("book_id", F.col("page").cast("bigint").alias("page"), "title", "author")
 
 
-@query()
+@query(f"""{_with(X.BLOCKS, X.RULES, _ALL_BLOCKS, _BY_HEADER, _BY_PATTERN)}, every AS (
+  SELECT book_id, page, header AS title, author, name AS rule, confidence, rule_ord, hp AS emit_ord FROM by_header UNION ALL SELECT book_id, page, title, author, name, confidence, rule_ord, page FROM by_pattern)
+SELECT book_id, page, title, author, rule, confidence FROM (SELECT *, row_number() OVER (PARTITION BY book_id, page ORDER BY confidence DESC, rule_ord, emit_ord) AS r FROM every) WHERE r = 1""")
 def boundaries(spark, sf_dir):
-    return B.boundaries(X.BLOCKS.df(spark), _rules(spark))
+    return B.boundaries(_boundary_blocks(spark, sf_dir), _boundary_rules(spark, sf_dir))
 
 
 @query(f"""{_with(X.BLOCKS)}, k AS (SELECT DISTINCT book_id, {_norm("text")} AS chapter_key FROM blocks WHERE type IN ('text', 'paragraph_title') AND regexp_matches({_bare("text")}, '^\\d{{1,2}}[.、]\\s*\\S{{2,30}}$'))
@@ -332,7 +377,10 @@ def place_titles(spark, sf_dir):
     return out.select("book_id", "ord", F.col("line_no").cast("bigint").alias("line_no"))
 
 
-@query()
+@query(f"""{_with(X.PLACE_LINES, X.PLACE_TITLES)}, put AS (SELECT p.book_id, p.line_no, title FROM ({ORACLE_SQL['place_titles']}) p JOIN place_titles USING (book_id, ord) WHERE p.line_no IS NOT NULL
+), t AS (SELECT l.book_id, l.line_no, coalesce('# ' || title, text) AS text FROM place_lines l LEFT JOIN put p ON p.book_id = l.book_id AND p.line_no = l.line_no)
+SELECT book_id, line_no, CASE WHEN NOT starts_with(text, '# ') OR EXISTS (SELECT 1 FROM place_titles k WHERE k.book_id = t.book_id AND {_norm("k.title")} = {_norm("substr(t.text, 3)")}) THEN text
+  WHEN line_no > 20 THEN '## ' || {_strip("substr(text, 3)")} ELSE {_strip("substr(text, 3)")} END AS text FROM t""")
 def apply_titles(spark, sf_dir):
     lines, titles = X.PLACE_LINES.df(spark), X.PLACE_TITLES.df(spark)
     return L.apply_titles(lines, titles, L.place_titles(lines, titles))
@@ -354,28 +402,61 @@ def toc_range(spark, sf_dir):
     return _toc(spark)[3].select("book_id", F.col("toc_start").cast("bigint").alias("toc_start"), F.col("toc_end").cast("bigint").alias("toc_end"))
 
 
-_ENTRY_SQL = _strip("regexp_replace(regexp_replace(" + _strip("text") + ", '^[-*+]\\s*', ''), '\\s*[-—–….·]*\\s*\\d{1,4}\\s*$', '')")
+_LISTED = "^[-*+]\\s*"
+_JUDGED = f"""x AS (
+  SELECT l.book_id, l.line_no, l.text, CASE WHEN regexp_matches(text, '^\\s*#') THEN {_strip("regexp_replace(text, '^#+\\s*', '')")} END AS title, {_strip("text")} AS s, {_bare("text")} AS bare, toc_start, toc_end,
+    coalesce(line_no >= toc_start AND line_no < toc_end, FALSE) AS within, coalesce(line_no > toc_start AND line_no < toc_end, FALSE) AS inside FROM toc_lines l LEFT JOIN ranges USING (book_id)
+), entry_text AS (SELECT *, regexp_replace(regexp_replace(s, '{_LISTED}', ''), '^#+\\s*', '') AS e, {_strip("regexp_replace(text, '^[\\s\\p{Z}]*#+[\\s\\p{Z}]*', '')")} AS ht FROM x
+), second AS (
+  SELECT DISTINCT book_id, {_norm("ht")} AS k FROM entry_text WHERE regexp_matches({_bare("ht")}, '{T.NUMBERED_CHAPTER}') UNION SELECT DISTINCT book_id, {_norm("e")} FROM entry_text WHERE within AND regexp_matches({_bare("e")}, '{T.NUMBERED_CHAPTER}')
+), fam AS (SELECT DISTINCT book_id, CASE WHEN regexp_matches({_bare("ht")}, '{T.ORDINAL_FAMILIES["其"]}') THEN '其' WHEN regexp_matches({_bare("ht")}, '{T.ORDINAL_FAMILIES["第"]}') THEN '第' END AS family FROM entry_text
+), first_keys AS (SELECT DISTINCT book_id, {_norm("title")} AS k FROM toc_titles WHERE coalesce(title, '') <> ''
+), spots AS (SELECT p.book_id, line_no, {_norm("title")} AS k FROM toc_placed p JOIN toc_titles USING (book_id, ord)
+), y AS (SELECT *, {_norm("title")} AS k, CASE WHEN regexp_matches(bare, '{T.ORDINAL_FAMILIES["其"]}') THEN '其' WHEN regexp_matches(bare, '{T.ORDINAL_FAMILIES["第"]}') THEN '第' END AS family FROM x
+), z AS (SELECT *, coalesce(title <> '', FALSE) AS heading, EXISTS (SELECT 1 FROM first_keys f WHERE f.book_id = y.book_id AND f.k = y.k) AS is_first, EXISTS (SELECT 1 FROM second f WHERE f.book_id = y.book_id AND f.k = y.k) AS is_second,
+    EXISTS (SELECT 1 FROM spots f WHERE f.book_id = y.book_id AND f.line_no = y.line_no AND f.k = y.k) AS is_placed,
+    title IS NULL AND NOT within AND length(bare) <= 6 AND NOT regexp_matches(s, '^(- |\\* |\\+ |\\[\\^|!)') AND EXISTS (SELECT 1 FROM fam f WHERE f.book_id = y.book_id AND f.family = y.family) AS rises FROM y
+), w AS (SELECT *, CASE WHEN rises THEN 'ordinal family' WHEN NOT heading THEN '' WHEN inside THEN 'table of contents' WHEN is_first AND is_placed THEN 'placed boundary' WHEN is_second THEN 'numbered chapter'
+    WHEN is_first THEN 'repeat of a boundary' ELSE 'font only' END AS reason FROM z
+), v AS (SELECT *, CASE reason WHEN 'ordinal family' THEN 3 WHEN 'placed boundary' THEN 1 WHEN 'numbered chapter' THEN 2 WHEN 'font only' THEN 3 WHEN 'table of contents' THEN 0 WHEN 'repeat of a boundary' THEN 0 END AS level, coalesce(title, s) AS shown FROM w
+), u AS (SELECT *, CASE WHEN line_no = toc_start AND title IS NOT NULL THEN '# ' || shown WHEN level IS NULL THEN text WHEN level = 0 THEN shown ELSE repeat('#', level) || ' ' || shown END AS put FROM v
+), judged AS (SELECT book_id, line_no, text, CASE WHEN inside AND {_strip("put")} <> '' AND NOT regexp_matches({_strip("put")}, '^(- |\\* |\\+ |#)') THEN '- ' || {_strip("put")} ELSE put END AS new_text, level, reason FROM u)"""
+_ENTRY_SQL = _strip("regexp_replace(regexp_replace(" + _strip("new_text") + ", '^[-*+]\\s*', ''), '\\s*[-—–….·]*\\s*\\d{1,4}\\s*$', '')")
+
+
+def _judged(spark):
+    lines, titles, placed, ranges = _toc(spark)
+    blocks = lines.select("book_id", F.col("line_no").alias("page"), F.lit(0).alias("block_ord"), F.lit("paragraph_title").alias("type"), T.heading_title(F.col("text")).alias("text"))
+    return L.verdicts(lines, titles, placed, B.numbered_chapters(blocks, 1), B.ordinal_families(blocks, 1), ranges)
 
 
-@query(f"""{_with(X.TOC_LINES, X.TOC_TITLES, X.TOC_PLACED, _TOC_RANGE)}, e AS (
-  SELECT book_id, line_no, {_ENTRY_SQL} AS entry FROM toc_lines JOIN ranges USING (book_id) WHERE line_no > toc_start AND line_no < toc_end
+@query(f"""{_with(X.TOC_LINES, X.TOC_TITLES, X.TOC_PLACED, _TOC_RANGE, _JUDGED)}, e AS (
+  SELECT book_id, line_no, {_ENTRY_SQL} AS entry FROM judged JOIN ranges USING (book_id) WHERE line_no > toc_start AND line_no < toc_end
 ), p AS (SELECT book_id, line_no, title FROM toc_placed JOIN toc_titles USING (book_id, ord)
 ), h AS (SELECT p.book_id, p.line_no, arg_min(entry, e.line_no) AS completed FROM p JOIN e ON p.book_id = e.book_id AND entry <> '' AND starts_with({_norm("entry")}, {_norm("title")}) AND length({_norm("entry")}) > length({_norm("title")}) + 1 GROUP BY ALL)
 SELECT book_id, CAST(p.line_no AS BIGINT) AS line_no, title, completed FROM p LEFT JOIN h USING (book_id, line_no)""")
 def toc_completion(spark, sf_dir):
-    lines, titles, placed, ranges = _toc(spark)
+    """Entries are taken from the judged lines, where headings inside the table of contents are items without marks."""
+    _, titles, placed, ranges = _toc(spark)
     spots = placed.join(titles, ["book_id", "ord"]).select("book_id", "line_no", "title")
-    return L.complete_titles(L.toc_entries(lines, ranges), spots).select("book_id", F.col("line_no").cast("bigint").alias("line_no"), "title", "completed")
+    entries = L.toc_entries(_judged(spark).select("book_id", "line_no", F.col("new_text").alias("text")), ranges)
+    return L.complete_titles(entries, spots).select("book_id", F.col("line_no").cast("bigint").alias("line_no"), "title", "completed")
 
 
-@query()
+@query(f"{_with(X.TOC_LINES, X.TOC_TITLES, X.TOC_PLACED, _TOC_RANGE, _JUDGED)} SELECT * FROM judged")
 def reconcile_headings(spark, sf_dir):
-    lines, titles, placed, ranges = _toc(spark)
-    blocks = lines.select("book_id", F.col("line_no").alias("page"), F.lit(0).alias("block_ord"), F.lit("paragraph_title").alias("type"), T.heading_title(F.col("text")).alias("text"))
-    return L.verdicts(lines, titles, placed, B.numbered_chapters(blocks, 1), B.ordinal_families(blocks, 1), ranges)
-
-
-@query()
+    return _judged(spark)
+
+
+@query(f"""WITH RECURSIVE {X.TOC_LINES.cte}, {X.TOC_TITLES.cte}, {X.TOC_PLACED.cte}, spots AS (
+  SELECT p.book_id, line_no AS at, {_norm("title")} AS tk, row_number() OVER (PARTITION BY p.book_id ORDER BY line_no) AS i FROM toc_placed p JOIN toc_titles USING (book_id, ord)
+), near AS (SELECT book_id, line_no, {_strip("text")} = '' AS blank, {_norm("regexp_replace(" + _strip("text") + ", '^#+\\s*', '')")} AS part FROM toc_lines
+), f AS (SELECT DISTINCT book_id, CAST(0 AS BIGINT) AS n, CAST([] AS INTEGER[]) AS gone, FALSE AS stopped FROM spots
+  UNION ALL SELECT book_id, n + 1, CASE WHEN NOT st AND NOT passed AND again THEN list_append(gone, line_no) ELSE gone END, st OR (NOT passed AND NOT again) FROM (
+    SELECT f.book_id, f.n, f.gone, f.n % 5 <> 0 AND f.stopped AS st, l.line_no, coalesce(l.blank, TRUE) OR list_contains(f.gone, l.line_no) AS passed, coalesce(length(part) >= 2 AND part <> tk AND contains(tk, part), FALSE) AS again
+    FROM f JOIN spots s ON s.book_id = f.book_id AND s.i = f.n // 5 + 1 LEFT JOIN near l ON l.book_id = f.book_id AND l.line_no = s.at + f.n % 5 + 1)
+), last AS (SELECT book_id, arg_max(gone, n) AS gone FROM f GROUP BY book_id)
+SELECT l.book_id, l.line_no, CASE WHEN list_contains(gone, l.line_no) THEN '' ELSE text END AS text FROM toc_lines l LEFT JOIN last USING (book_id)""")
 def absorb_residue(spark, sf_dir):
     lines, titles, placed, _ = _toc(spark)
     return L.absorb_residue(lines, placed.join(titles, ["book_id", "ord"]).select("book_id", "line_no", "title"))
@@ -437,7 +518,7 @@ def toc_mismatches(spark, sf_dir):
 ), c AS (SELECT *, (SELECT count(*) FROM manifest m WHERE m.book_id = b.book_id AND href IS NOT NULL AND NOT EXISTS (SELECT 1 FROM entries e WHERE e.book_id = m.book_id AND e.name = m.base || m.href)) AS nm,
   (SELECT count(*) FROM toc t WHERE t.book_id = b.book_id) AS nt, (SELECT count(*) FROM wrong w WHERE w.book_id = b.book_id) AS nw FROM b)
 SELECT book_id, 'mimetype first' AS name, fn = 'mimetype' AS ok, CAST(0 AS BIGINT) AS n FROM c UNION ALL SELECT book_id, 'mimetype stored', ct = 0, CAST(ct AS BIGINT) FROM c UNION ALL SELECT book_id, 'container present', nc > 0, nc FROM c
-UNION ALL SELECT book_id, 'manifest complete', nm = 0, nm FROM c UNION ALL SELECT book_id, 'toc present', nt > 0, nt FROM c UNION ALL SELECT book_id, 'toc lands', nw = 0, nw FROM c""")
+UNION ALL SELECT book_id, 'manifest complete', nm = 0, nm FROM c WHERE nc > 0 UNION ALL SELECT book_id, 'toc present', nt > 0, nt FROM c WHERE nc > 0 UNION ALL SELECT book_id, 'toc lands', nw = 0, nw FROM c WHERE nc > 0""")
 def qc_checks(spark, sf_dir):
     return integrity.checks(*(x.df(spark) for x in (X.ENTRIES, X.MANIFEST, X.TOC, X.FILES)))
 
@@ -611,3 +692,92 @@ def page_context(spark, sf_dir):
 @query()
 def layout_blocks(spark, sf_dir):
     return R.read_blocks(X.PARSED.df(spark)).withColumn("bbox", _joined(T.expanded_box(F.col("bbox"))))
+
+
+# --- files: written to the shared folder and read back ---
+
+
+@query("""SELECT source AS book_id, count(*) AS n_lines, CAST(sum(length(line)) AS BIGINT) AS n_chars FROM (SELECT source, unnest(string_split(text, chr(10))) AS line FROM documents) GROUP BY source""")
+def markdown_files(spark, sf_dir):
+    """Every source as a book of all its documents' lines: written as markdown, line by line, and read again."""
+    path = new_path(spark, "markdown")
+    lines = R.document_lines(_table(spark, sf_dir, "documents").withColumn("doc_id", F.struct("source", "doc_id")))
+    writers.write_markdown(lines.select(F.col("book_id.source").alias("book_id"), F.struct("book_id.doc_id", "line_no").alias("line_no"), "text"), path)
+    return writers.read_markdown(spark, path).groupBy("book_id").agg(F.count(F.lit(1)).alias("n_lines"), F.sum(F.length("text")).alias("n_chars"))
+
+
+@query(ORACLE_SQL["running_heads"])
+def report_files(spark, sf_dir):
+    """Running heads written as a report of JSON lines and read again."""
+    path = new_path(spark, "reports")
+    heads = B.running_heads(R.document_blocks(_table(spark, sf_dir, "documents")))
+    writers.write_reports(path, heads=heads)
+    return spark.read.schema(heads.schema).json(f"{path}/heads")
+
+
+@query("""WITH f AS (SELECT source AS book_id, CASE lang WHEN 'en' THEN doc_id || '_Middle.json' WHEN 'fr' THEN doc_id || '.json' ELSE doc_id || '.txt' END AS name, n_chars AS size FROM documents)
+SELECT book_id, name, size FROM (SELECT *, row_number() OVER (PARTITION BY book_id ORDER BY contains(lower(name), 'middle') DESC, size DESC, name) AS r FROM f WHERE name LIKE '%.json') WHERE r = 1""")
+def layout_file_choice(spark, sf_dir):
+    """Of the files of each source the layout file to read; documents stand for files."""
+    name = F.concat(F.col("doc_id").cast("string"), F.when(F.col("lang") == "en", "_Middle.json").when(F.col("lang") == "fr", ".json").otherwise(".txt"))
+    files = _table(spark, sf_dir, "documents").select(F.col("source").alias("book_id"), name.alias("name"), name.alias("path"), F.col("n_chars").alias("size"))
+    return R.chosen_json(files).select("book_id", "name", "size")
+
+
+@query("""SELECT source AS book_id, doc_id || '.zip' AS name FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY contains(CAST(doc_id AS VARCHAR), '77') DESC, n_chars DESC, doc_id || '.zip') AS r FROM documents) WHERE r = 1""")
+def archive_choice(spark, sf_dir):
+    """Of the archives of each source the one to unpack: one whose name holds the stem, else the newest."""
+    files = _table(spark, sf_dir, "documents").select(F.col("source").alias("book_id"), F.concat(F.col("doc_id").cast("string"), F.lit(".zip")).alias("name"), F.col("n_chars").alias("modified"))
+    return R.chosen_archive(files, F.lit("77"), F.lit("no such title")).select("book_id", "name")
+
+
+@query("""SELECT event_id AS book_id, event_type || '.pdf' AS pdf, CASE WHEN event_type = 'click' AND json_valid(props) THEN json_extract_string(props, '$.a') END AS a, coalesce(event_type = 'click' AND json_valid(props), FALSE) AS reused FROM events""")
+def profile_reuse(spark, sf_dir):
+    """Stored profiles (here the props of events) are used again for the file they were made for."""
+    events = _table(spark, sf_dir, "events")
+    books = events.select(F.col("event_id").alias("book_id"), F.concat("event_type", F.lit(".pdf")).alias("pdf"))
+    stored = events.select(F.col("event_id").alias("book_id"), F.lit("click.pdf").alias("pdf"), F.col("props").alias("json"))
+    out = R.reused_profiles(books, stored)
+    return out.select("book_id", "pdf", F.try_variant_get("profile", "$.a", "string").alias("a"), F.col("profile").isNotNull().alias("reused"))
+
+
+_NAV_LINKS = f"""l AS (SELECT page_id, unnest(regexp_extract_all(nav, '(?s)<a[^>]+href="([^"]+)"[^>]*>(.*?)</a>', 1)) AS href, unnest(regexp_extract_all(nav, '(?s)<a[^>]+href="([^"]+)"[^>]*>(.*?)</a>', 2)) AS label
+  FROM (SELECT page_id, split_part(html, '</nav>', 1) AS nav FROM pages)
+), n AS (SELECT page_id, count(*) AS n_toc, count(*) FILTER (WHERE lower({_norm("regexp_replace(label, '<[^>]+>', '', 'g')", T.QC_DROPS)}) NOT IN ('titlepage', 'tableofcontents', '标题页', '目录') AND split_part(href, '#', 1) <> '') AS n_wrong FROM l GROUP BY page_id
+), c AS (SELECT p.page_id, coalesce(n_toc, 0) AS n_toc, coalesce(n_wrong, 0) AS n_wrong FROM pages p LEFT JOIN n USING (page_id))"""
+
+
+@query(f"""WITH {_NAV_LINKS} SELECT page_id, 'mimetype first' AS name, TRUE AS ok, CAST(0 AS BIGINT) AS n FROM c UNION ALL SELECT page_id, 'mimetype stored', TRUE, 0 FROM c UNION ALL SELECT page_id, 'container present', TRUE, 1 FROM c
+UNION ALL SELECT page_id, 'manifest complete', FALSE, 1 FROM c UNION ALL SELECT page_id, 'toc present', n_toc > 0, n_toc FROM c UNION ALL SELECT page_id, 'toc lands', n_wrong = 0, n_wrong FROM c""")
+def container_checks(spark, sf_dir):
+    """Every page packed as a container (its navigation, and a manifest with a file that isn't there), then read, scanned and checked."""
+    pages = _table(spark, sf_dir, "pages").select(F.col("page_id").cast("string").alias("book_id"), F.split_part("html", F.lit("</nav>"), F.lit(1)).alias("nav"))
+    entries = R.zip_entries(writers.containers(pages))
+    packages = R.package_of(entries)
+    manifest = R.manifest_of(packages)
+    files = entries.select("book_id", "name", F.decode("content", "UTF-8").alias("html"))
+    out = integrity.checks(entries, manifest, R.package_links(entries, manifest), files, packages)
+    return out.select(F.col("book_id").cast("bigint").alias("page_id"), "name", "ok", "n")
+
+
+def _conversions(spark: SparkSession, sf_dir: str) -> convert.Converted:
+    """Every conversation as a book: pages are turns, their roles headers; its lines are those of the turns with a blank one behind each."""
+    turns = _table(spark, sf_dir, "conversations").withColumn("conv_id", F.concat(F.lit("conv-"), "conv_id"))
+    blocks = R.conversation_blocks(turns)
+    texts = blocks.filter("type = 'text'").groupBy("book_id", "page").agg(F.array_sort(F.collect_list(F.struct("block_ord", "text"))).alias("l"))
+    pages = texts.groupBy("book_id").agg(F.array_sort(F.collect_list(F.struct("page", F.transform("l", lambda x: x["text"]).alias("l")))).alias("p"))
+    every = F.flatten(F.transform("p", lambda p: F.concat(p["l"], F.array(F.lit("")))))
+    lines = pages.select("book_id", F.posexplode(every).alias("line_no", "text"))
+    return convert.convert(blocks, lines, _boundary_rules(spark, sf_dir))
+
+
+@query()
+def convert_books(spark, sf_dir):
+    """The final lines of whole conversions."""
+    return _conversions(spark, sf_dir).lines
+
+
+@query()
+def conversion_report(spark, sf_dir):
+    """The counters of whole conversions."""
+    return _conversions(spark, sf_dir).report

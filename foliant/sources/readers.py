@@ -28,6 +28,12 @@ def chosen_json(files: DataFrame, by: str = "book_id") -> DataFrame:
     return files.filter(F.endswith("name", F.lit(".json"))).withColumn("_nth", nth).filter("_nth = 1").drop("_nth")
 
 
+def chosen_markdown(files: DataFrame, by: str = "book_id", name: str = "markdown.md") -> DataFrame:
+    """Of each book's files of that name the first by path."""
+    first = files.filter(F.lower("name") == name).groupBy(by).agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in files.columns]), "path").alias("_f"))
+    return first.select("_f.*")
+
+
 def chosen_archive(files: DataFrame, stem: Column, title: Column, by: str = "book_id") -> DataFrame:
     """Of each book's zip files: one named like the book (or holding its stem) first, then the newest, then the first name."""
     own = F.regexp_replace("name", r"\.zip\z", "")
@@ -114,11 +120,11 @@ def package_of(entries: DataFrame) -> DataFrame:
 
 
 def manifest_of(packages: DataFrame) -> DataFrame:
-    """(book_id, base, id, href, properties) of package files."""
+    """(book_id, base, id, href, properties, ord) of package files, in their order."""
     item = '//*[local-name()="item"]'
-    rows = packages.select("book_id", "base", F.explode(F.regexp_extract_all("opf", F.lit(r"(?s)<(?:\w+:)?item\s[^>]*>"), F.lit(0))).alias("_i"))
+    rows = packages.select("book_id", "base", F.posexplode(F.regexp_extract_all("opf", F.lit(r"(?s)<(?:\w+:)?item\s[^>]*>"), F.lit(0))).alias("ord", "_i"))
     own = lambda a: F.get(F.xpath(F.concat(F.regexp_replace("_i", r"(?s)<(?:\w+:)?item\s(.*?)/?>", "<item $1/>")), F.lit(f"{item}/@{a}")), F.lit(0))
-    return rows.select("book_id", "base", own("id").alias("id"), own("href").alias("href"), own("properties").alias("properties"))
+    return rows.select("book_id", "base", own("id").alias("id"), own("href").alias("href"), own("properties").alias("properties"), "ord")
 
 
 def _pairs(text: Column, pattern: str, first: int, second: int) -> Column:
@@ -138,20 +144,20 @@ def ncx_entries(pages: DataFrame, text_col: str = "xml") -> DataFrame:
     return rows.select("book_id", "ord", "e.href", "e.label")
 
 
-def package_links(entries: DataFrame, packages: DataFrame, manifest: DataFrame) -> DataFrame:
+def package_links(entries: DataFrame, manifest: DataFrame) -> DataFrame:
     """(book_id, ord, href, label, base, self_name): a container's table of contents: the links of its ``nav`` item, or, where that gives none, of its NCX file.
 
-    ``base`` is the folder the links are relative to, ``self_name`` the file they stand in.
+    Of several items of a kind the first in the manifest counts. ``base`` is the package's folder, ``self_name`` the ``nav`` file.
     """
-    named = manifest.withColumn("name", F.concat("base", "href")).join(entries.select("book_id", "name", _xml(F.col("content")).alias("_text")), ["book_id", "name"])
-    folder = F.regexp_extract("name", r"\A(.*/)?[^/]*\z", 1)
-    files = named.select("book_id", "name", folder.alias("base"), "_text", "properties", F.lower("href").alias("_href"))
-    one = lambda rows: rows.groupBy("book_id").agg(F.min_by(F.struct("name", "base", "_text"), "name").alias("f")).select("book_id", "f.*")
-    nav = one(files.filter(F.array_contains(F.split(F.coalesce("properties", F.lit("")), r"\s+"), "nav")))
-    ncx = one(files.filter(F.endswith("_href", F.lit(".ncx"))))
-    own = nav_entries(nav, "_text").join(nav.select("book_id", "base", F.col("name").alias("self_name")), "book_id")
-    other = ncx_entries(ncx, "_text").join(ncx.select("book_id", "base", F.col("name").alias("self_name")), "book_id")
-    return own.unionByName(other.join(own.select("book_id").distinct(), "book_id", "left_anti"))
+    first = lambda rows: rows.groupBy("book_id").agg(F.min_by(F.struct("base", F.concat("base", "href").alias("name")), "ord").alias("_i")).select("book_id", "_i.*")
+    listed = manifest.filter(F.coalesce("href", F.lit("")) != "")
+    nav = first(listed.filter(F.col("properties") == "nav"))
+    ncx = first(listed.filter(F.endswith("href", F.lit(".ncx"))))
+    texts = entries.select("book_id", "name", F.decode("content", "UTF-8").alias("_text"))
+    own = nav_entries(nav.join(texts, ["book_id", "name"]), "_text")
+    other = ncx_entries(ncx.join(texts, ["book_id", "name"]), "_text").join(own.select("book_id").distinct(), "book_id", "left_anti")
+    bases = nav.unionByName(ncx).select("book_id", "base").distinct()
+    return own.unionByName(other).join(bases, "book_id").join(nav.select("book_id", F.col("name").alias("self_name")), "book_id", "left")
 
 
 def reused_profiles(books: DataFrame, profiles: DataFrame) -> DataFrame:
