@@ -6,18 +6,20 @@ corpus. The class prior is estimated from the scores of held-back positives and
 
     prior * E_pos[l(f)] + max(0, E_unl[l(-f)] - prior * E_pos[l(-f)])
 
-with the logistic loss over standardised text statistics. Training covers all unlabelled texts and
-stays distributed: in each round every partition of the feature table takes some steps from the
-shared weights on its own rows, and the weights are averaged by rows (iterative parameter mixing). The
-feature table is written once; a text is read by Python once.
+with the logistic loss over standardised text statistics. Risk, gradient and curvature are sums over
+all unlabelled rows, one pass over the feature table each; the driver takes damped Newton steps on the
+sums, so the result doesn't depend on how rows are dealt to tasks or batches. Descent starts where the
+second term is positive (at zero) and a step that would make it negative is shortened: past that point
+only the clamp would be left, and the fit would be to noise. The feature table is written once; a text is
+read by Python once.
 
 Labels are read only from training rows, and of them only the positives; language, source and ids are
-no inputs. What reaches the driver: weights, means, histograms of fixed size and at most
-``MAX_POSITIVES`` rows of features.
+no inputs. What reaches the driver: sums and histograms of fixed size and at most ``MAX_POSITIVES`` rows
+of features.
 
 Edge cases: null and empty texts have the features of an empty text and get its score; repeated rows
-get equal scores; null labels are left out; without positives every score is 0.5; an empty table gives an
-empty table; very long texts are measured whole.
+get equal scores; null labels are left out; a null id is never held out and never labelled; without positives
+every score is 0.5; an empty table gives an empty table; very long texts are measured whole; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,11 +32,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliant.llm.common import table, written
+from foliant.llm.common import summed, table, written
 
-#: Labelled positives that are used, at most; a fifth of them is held back to estimate the prior.
+#: Rows of labelled positives that are used, at most; a fifth of them is held back to estimate the prior.
 MAX_POSITIVES = 10_000
-ROUNDS, STEPS = 5, 60
+#: Newton steps before the first estimate of the prior, before the second, and after it, at most.
+STEPS = (4, 4, 8)
+#: Penalty on squared weights: a fixed part, and one that counts as much as so many positives.
+L2, L2_ROWS = 1e-3, 10.0
 THRESHOLD = 0.5
 
 _CLASSES = np.zeros(256, np.int64)
@@ -83,45 +88,73 @@ def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
 
 def _design(x: np.ndarray, mean: np.ndarray, spread: np.ndarray) -> np.ndarray:
     z = np.clip((x - mean) / spread, -5, 5)
-    return np.hstack([z, z * z / 5, np.ones((len(z), 1), np.float32)]).astype(np.float32)
+    return np.hstack([z, z * z / 5, np.ones((len(z), 1))])
 
 
 def _sigmoid(v: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(v, -30, 30)))
 
 
-def descend(w: np.ndarray, pos: np.ndarray, unl: np.ndarray, prior: float, steps: int, rate: float = 0.05, l2: float = 1e-4) -> np.ndarray:
-    """Steps of Adam on the non-negative risk of the positives and one part of the unlabelled."""
-    w = w.copy()
-    m, v = np.zeros_like(w), np.zeros_like(w)
-    for t in range(1, steps + 1):
-        fp, fu = pos @ w, unl @ w
-        sp, su = _sigmoid(fp), _sigmoid(fu)
-        negative = np.logaddexp(0, fu).mean() - prior * np.logaddexp(0, fp).mean()
-        g_negative = unl.T @ su / len(unl) - prior * (pos.T @ sp) / len(pos)
-        g = (prior * (pos.T @ (sp - 1)) / len(pos) + g_negative if negative >= 0 else -g_negative) + l2 * w
-        m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
-        w -= rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
+class Risk:
+    """The non-negative risk at weights ``w``, from sums over the unlabelled (of softplus, gradient, curvature, rows) and from the positives."""
+
+    def __init__(self, w: np.ndarray, pos: np.ndarray, sums: np.ndarray, prior: float):
+        l2 = L2 + L2_ROWS / len(pos)
+        k, n = len(w), max(sums[-1], 1.0)
+        fp = pos @ w
+        self.negative = sums[0] / n - prior * np.logaddexp(0, fp).mean()
+        self.value = prior * np.logaddexp(0, -fp).mean() + max(0.0, self.negative) + l2 / 2 * (w @ w)
+        # of the positives' two losses, softplus(-f) - softplus(f), just -f is left
+        self.gradient = sums[1 : k + 1] / n - prior * pos.mean(axis=0) + l2 * w
+        self.curvature = sums[k + 1 : -1].reshape(k, k) / n + l2 * np.eye(k)
+
+
+def unlabelled_sums(design: np.ndarray, w: np.ndarray) -> np.ndarray:
+    f = design @ w
+    s = _sigmoid(f)
+    return np.concatenate([[np.logaddexp(0, f).sum()], design.T @ s, ((design * (s * (1 - s))[:, None]).T @ design).ravel(), [len(f)]])
+
+
+def descend(risk_at, size: int, steps: int, tolerance: float = 1e-5) -> np.ndarray:
+    """Damped Newton steps from zero; ``risk_at`` gives the :class:`Risk` at weights and costs one pass."""
+    w = np.zeros(size)
+    here = risk_at(w)
+    for _ in range(steps):
+        step = np.linalg.solve(here.curvature, here.gradient)
+        if here.gradient @ step < tolerance:
+            break
+        for _ in range(4):
+            there = risk_at(w - step)
+            if there.negative >= 0 and there.value < here.value:
+                break
+            step = step / 3
+        else:
+            break
+        w, here = w - step, there
     return w
 
 
 BINS = 200
 
 
-def estimate_prior(held: np.ndarray, histogram: np.ndarray, slack: float = 0.02) -> float:
-    """Share of positives among the unlabelled: the least ratio, over thresholds, of the tails of unlabelled and held-back positive scores.
+def estimate_prior(held: np.ndarray, histogram: np.ndarray, delta: float = 0.1) -> float:
+    """Share of positives among the unlabelled: the ratio of the upper tails of unlabelled and held-back positive scores, at the threshold
+    where that ratio's upper confidence bound (of probability 1 - ``delta``) is least, less two standard errors: the ratio is an upper bound, and
+    a prior that is too high makes the second term of the risk negative before the fit is done.
 
     ``histogram`` counts the unlabelled by score in equal bins from 0 to 1.
     """
     total = histogram.sum()
     if not len(held) or not total:
         return 0.5
-    own = np.histogram(held, BINS, (0, 1))[0]
-    pos = own[::-1].cumsum()[::-1] / len(held)
+    pos = np.histogram(held, BINS, (0, 1))[0][::-1].cumsum()[::-1] / len(held)
     unl = histogram[::-1].cumsum()[::-1] / total
-    fit = pos >= min(1.0, max(0.05, 10 / len(held)))  # the lowest threshold always counts
-    ratio = (unl[fit] + slack * np.sqrt(1 / total)) / pos[fit] + slack * np.sqrt(1 / (len(held) * pos[fit]))
-    return float(np.clip(ratio.min(), 0.02, 0.98))
+    pos, unl = pos[pos > 0], unl[pos > 0]
+    doubt = np.sqrt(np.log(4 / delta) / 2) * (np.sqrt(1 / total) + np.sqrt(1 / len(held)))
+    at = np.argmin((unl + doubt) / pos)
+    caught = (pos[at] * len(held) + 1) / (len(held) + 2)
+    error = np.sqrt((1 - caught) / (caught * len(held)))
+    return float(np.clip(unl[at] / pos[at] * (1 - 2 * min(error, 0.25)), 0.02, 0.98))
 
 
 def train(
@@ -139,57 +172,45 @@ def train(
         .orderBy(F.xxhash64("_id"), "_id")
         .limit(max_positives)
     )
-
-    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(2 * N_FEATURES + 1)
-        for b in batches:
-            x = _matrix(b.column("x")).astype(np.float64)
-            total += np.concatenate([x.sum(axis=0), (x * x).sum(axis=0), [len(x)]])
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["part"])
-
-    def added(parts: list[bytes]) -> np.ndarray:
-        return sum((np.frombuffer(p) for p in parts), start=np.zeros(1))
-
-    def gathered(found: DataFrame) -> np.ndarray:  # one short row of numbers a partition
-        return added([bytes(r["part"]) for r in found.toLocalIterator()])
-
-    total = gathered(table_.select("x").mapInArrow(sums, "part binary"))
-    n = total[-1] if len(total) > 1 else 0
-    pos = _matrix(table_.join(F.broadcast(trusted), table_.id == trusted._id).select("x").toArrow()["x"])
-    weights = np.zeros(2 * N_FEATURES + 1)
+    rows = table_.select("x")
+
+    def moments(b: pa.RecordBatch) -> np.ndarray:
+        x = _matrix(b.column("x")).astype(np.float64)
+        return np.concatenate([x.sum(axis=0), (x * x).sum(axis=0), [len(x)]])
+
+    total = summed(rows, moments, 2 * N_FEATURES + 1)
+    n = total[-1]
+    own = table_.join(F.broadcast(trusted), table_.id == trusted._id).select(F.xxhash64("_id").alias("_h"), "_id", "x")
+    pos = _matrix(own.orderBy("_h", "_id", "x").limit(max_positives).toArrow()["x"])
+    k = 2 * N_FEATURES + 1
+    weights = np.zeros(k)
     if not n or not len(pos):
         return (weights, np.zeros(N_FEATURES), np.ones(N_FEATURES), 0.5), table_
     mean = total[:N_FEATURES] / n
     spread = np.sqrt(np.maximum(total[N_FEATURES:-1] / n - mean**2, 1e-6))
-    order = np.random.default_rng(0).permutation(len(pos))
-    design = _design(pos[order], mean, spread)
+    design = _design(pos[np.random.default_rng(0).permutation(len(pos))], mean, spread)
     back, own = design[: len(pos) // 5], design[len(pos) // 5 :]
     prior = 0.5
-    for round_ in range(ROUNDS):
-        shared = spark.sparkContext.broadcast((weights, own, mean, spread, prior, 0.05 / (1 + round_)))
-
-        def local(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            weights, own, mean, spread, prior, rate = shared.value
-            total = np.zeros(len(weights) + 1)
-            for b in batches:
-                if b.num_rows:
-                    w = descend(weights, own, _design(_matrix(b.column("x")), mean, spread), prior, STEPS, rate)
-                    total += np.concatenate([w * b.num_rows, [b.num_rows]])
-            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["part"])
-
-        total = gathered(table_.select("x").mapInArrow(local, "part binary"))
-        weights = total[:-1] / total[-1]
-        if round_ < 2 and len(back):
+    for round_, steps in enumerate(STEPS):
+
+        def risk_at(w: np.ndarray, prior: float = prior) -> Risk:
+            shared = spark.sparkContext.broadcast((w, mean, spread))
+
+            def part(b: pa.RecordBatch) -> np.ndarray:
+                w, mean, spread = shared.value
+                return unlabelled_sums(_design(_matrix(b.column("x")), mean, spread), w)
+
+            return Risk(w, own, summed(rows, part, 2 + k + k * k), prior)
+
+        weights = descend(risk_at, k, steps)
+        if round_ < len(STEPS) - 1 and len(back):
             shared = spark.sparkContext.broadcast((weights, mean, spread))
 
-            def histogram(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            def histogram(b: pa.RecordBatch, shared=shared) -> np.ndarray:
                 weights, mean, spread = shared.value
-                total = np.zeros(BINS)
-                for b in batches:
-                    total += np.histogram(_sigmoid(_design(_matrix(b.column("x")), mean, spread) @ weights), BINS, (0, 1))[0]
-                yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["part"])
+                return np.histogram(_sigmoid(_design(_matrix(b.column("x")), mean, spread) @ weights), BINS, (0, 1))[0].astype(np.float64)
 
-            prior = estimate_prior(_sigmoid(back @ weights), gathered(table_.select("x").mapInArrow(histogram, "part binary")))
+            prior = estimate_prior(_sigmoid(back @ weights), summed(rows, histogram, BINS))
     return (weights, mean, spread, prior), table_
 
 
@@ -208,5 +229,5 @@ def scores(table_: DataFrame, model: tuple) -> DataFrame:
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     model, table_ = train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    held = F.crc32(F.col("id").cast("string").cast("binary")) % 3 == 1
+    held = F.coalesce(F.crc32(F.col("id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
     return scores(table_, model).select(F.col("id").alias("doc_id"), held.alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
