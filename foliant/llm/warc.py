@@ -5,8 +5,8 @@ record of the capture with the smallest id; the others become revisit records. E
 gzipped WARC files (one member a record) in the shared folder and hands on a locally sorted run of
 index entries. Index: the runs are dealt out by ranges of (URL key, timestamp, id), and every range
 merges its pieces of runs with a loser tree, so the whole is in one global order: the capture history
-of each URL. A range holds ``RANGE_ROWS`` entries or so, however often one URL occurs, because
-timestamp and id split it too. Reading: records are fetched at the index's offsets.
+of each URL. A range holds ``RANGE_ROWS`` entries or so, however often one URL, or one capture, occurs, because
+timestamp, id and place in the archives split it too. Reading: records are fetched at the index's offsets.
 
 Recovery: files carry the id of the task attempt that wrote them; only attempts that ended well have
 index entries, which are written as a table, so a lost executor or a repeated task leaves at most
@@ -14,7 +14,8 @@ files that nothing points to.
 
 Edge cases: null html is an empty payload, a null URL an empty one; an empty table writes nothing
 and gives an empty table; of repeated rows (equal id and payload, long enough) one is the response and the
-others revisit it; captures with a null id come first in order and never are referred to unless all are
+others revisit it, each under a record id of its own; ids may be any 64-bit numbers; a null timestamp sorts first and is dated
+``EPOCH``; captures with a null id come first in order and never are referred to unless all are
 null; payloads of any length stay whole; extra columns are ignored.
 """
 
@@ -31,12 +32,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from foliant.llm.common import new_path, shuffle_width, table, written
+from foliant.llm.common import new_path, shuffle_width, store_of, table, written
 
 MIN_REVISIT_BYTES = 100
 FILE_BYTES = 256 << 20
 RANGE_ROWS = 200_000
 EPOCH = datetime(2024, 1, 1, tzinfo=UTC)
+#: Without timestamps captures are spread over so many seconds by id; ids of any size are.
+SPREAD_SECONDS = 315_360_000
+#: The seconds a WARC-Date can express: years 1 to 9999.
+DATES = (-62_135_596_800, 253_402_300_799)
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -52,7 +57,22 @@ def url_key(url: str | None) -> str:
     return f"{','.join(reversed(host.split('.')))}{port}){parts.path or '/'}{'?' + query if query else ''}".lower()
 
 
-def record(kind: str, page_id: int | None, url: str | None, when: str, payload: bytes, digest: str, refers_to: int | None) -> bytes:
+def record_id(page_id: int | None, digest: str, nth: int) -> str:
+    """Different for all records: repeated rows of one id and payload are numbered, the response of a payload is its first."""
+    return f"<urn:page:{'' if page_id is None else page_id}:{digest[:16]}:{nth}>"
+
+
+def page_of(record_id: str) -> int | None:
+    page = record_id.removeprefix("<urn:page:").partition(":")[0]
+    return int(page) if page else None
+
+
+def warc_date(ts: int) -> str:
+    """Seconds as a WARC-Date; those beyond its years are the nearest it can express (the index keeps them as they are)."""
+    return (datetime(1970, 1, 1) + timedelta(seconds=min(max(ts, DATES[0]), DATES[1]))).isoformat(timespec="seconds") + "Z"
+
+
+def record(kind: str, page_id: int | None, url: str | None, when: str, payload: bytes, digest: str, refers_to: int | None, nth: int = 1) -> bytes:
     """A WARC/1.1 record; a revisit has the headers of its response but no payload."""
     status = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
     block = status + (payload if kind == "response" else b"")
@@ -60,7 +80,7 @@ def record(kind: str, page_id: int | None, url: str | None, when: str, payload:
     lines = [
         "WARC/1.1",
         f"WARC-Type: {kind}",
-        f"WARC-Record-ID: <urn:page:{'' if page_id is None else page_id}>",
+        f"WARC-Record-ID: {record_id(page_id, digest, nth)}",
         f"WARC-Date: {when}",
         f"WARC-Target-URI: {clean}",
         f"WARC-Payload-Digest: sha256:{digest}",
@@ -68,7 +88,7 @@ def record(kind: str, page_id: int | None, url: str | None, when: str, payload:
         f"Content-Length: {len(block)}",
     ]
     if kind == "revisit":
-        lines += [f"WARC-Profile: {REVISIT_PROFILE}", f"WARC-Refers-To: <urn:page:{'' if refers_to is None else refers_to}>"]
+        lines += [f"WARC-Profile: {REVISIT_PROFILE}", f"WARC-Refers-To: {record_id(refers_to, digest, 1)}"]
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
@@ -86,11 +106,11 @@ def gzipped(raw: bytes) -> bytes:
 
 
 def plan_records(pages: DataFrame, id_col: str, url_col: str, html_col: str, ts_col: str | None) -> DataFrame:
-    """(page_id, url, html, ts, digest, kind, refers_to), a row for each row of ``pages``."""
+    """(page_id, url, html, ts, digest, kind, refers_to, nth), a row for each row of ``pages``."""
     html = F.coalesce(F.col(html_col), F.lit(""))
     base = pages.select(
         F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), html.alias("html"),
-        (F.col(ts_col).cast("long") if ts_col else F.lit(None).cast("long")).alias("ts"), F.sha2(html.cast("binary"), 256).alias("digest"),
+        (F.col(ts_col).cast("long") if ts_col else F.lit(int(EPOCH.timestamp())) + F.pmod(F.coalesce(F.col(id_col).cast("long"), F.lit(0)), F.lit(SPREAD_SECONDS))).alias("ts"), F.sha2(html.cast("binary"), 256).alias("digest"),
     )
     long_ones = base.filter(F.octet_length("html") >= MIN_REVISIT_BYTES).select("page_id", "digest")
     groups = written(long_ones.groupBy("digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "payload-groups")
@@ -102,7 +122,7 @@ def plan_records(pages: DataFrame, id_col: str, url_col: str, html_col: str, ts_
     first = F.col("_known").isNull() | (F.col("page_id").eqNullSafe(F.col("first")) & (F.col("nth") == 1))
     return joined.withColumn("nth", nth).select(
         "page_id", "url", "html", "ts", "digest",
-        F.when(first, "response").otherwise("revisit").alias("kind"), F.when(~first, F.col("first")).alias("refers_to"),
+        F.when(first, "response").otherwise("revisit").alias("kind"), F.when(~first, F.col("first")).alias("refers_to"), "nth",
     )
 
 
@@ -117,27 +137,24 @@ def _entries(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def order_of(entry: tuple) -> tuple:
-    """URL key (by bytes), timestamp, id with null first: the order of the index, as Spark sorts it."""
-    key, ts, page = entry[:3]
-    return (key.encode(), ts, page is not None, page or 0)
+    """URL key (by bytes), timestamp and id with null first, place in the archives: the order of the index, as Spark sorts it. No two entries are equal."""
+    key, ts, page, _, _, path, offset = entry[:7]
+    return (key.encode(), ts is not None, ts or 0, page is not None, page or 0, path.encode(), offset)
 
 
 def _write(folder: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyarrow import fs
-
-        store, root = fs.FileSystem.from_uri(folder)
+        store, root = store_of(folder)
         attempt = TaskContext.get().taskAttemptId()
         out, offset, number, path, run_ = None, 0, 0, "", []
         for b in batches:
-            for page, url, html, ts, digest, kind, refers in zip(*(b.column(c).to_pylist() for c in ("page_id", "url", "html", "ts", "digest", "kind", "refers_to")), strict=True):
+            for page, url, html, ts, digest, kind, refers, nth in zip(*(b.column(c).to_pylist() for c in ("page_id", "url", "html", "ts", "digest", "kind", "refers_to", "nth")), strict=True):
                 if out is None:
                     store.create_dir(root, recursive=True)
                     path = f"{root}/capture-{attempt}-{number}.warc.gz"
                     out, offset, number = store.open_output_stream(path, compression=None), 0, number + 1
-                ts = int(EPOCH.timestamp()) + (page or 0) if ts is None else ts
-                when = (datetime(1970, 1, 1) + timedelta(seconds=ts)).strftime("%Y-%m-%dT%H:%M:%SZ")
-                member = gzipped(record(kind, page, url, when, html.encode(), digest, refers))
+                when = warc_date(int(EPOCH.timestamp()) if ts is None else ts)
+                member = gzipped(record(kind, page, url, when, html.encode(), digest, refers, nth))
                 out.write(member)
                 run_.append((url_key(url), ts, page, kind, digest, path, offset, len(member)))
                 offset += len(member)
@@ -154,7 +171,7 @@ def _write(folder: str):
 
 
 def write_archives(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", ts_col: str | None = None) -> tuple[DataFrame, str]:
-    """(index entries in locally sorted runs, folder of the archives). ``ts_col``: seconds or a timestamp; without it captures are a second apart by id."""
+    """(index entries in locally sorted runs, folder of the archives). ``ts_col``: seconds or a timestamp; without it, seconds by id modulo ``SPREAD_SECONDS``."""
     folder = new_path(pages.sparkSession, "warc")
     planned = plan_records(pages, id_col, url_col, html_col, ts_col)
     return written(planned.mapInArrow(_write(folder), _ENTRY), "capture-runs"), folder
@@ -220,7 +237,7 @@ def merge_index(runs: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
         yield pa.RecordBatch.from_arrays([*out.columns, *place], names=[*_ENTRY_NAMES, "range_no", "position"])
 
     n = max(1, -(-runs.count() // range_rows), min(shuffle_width(runs.sparkSession), 12))
-    return written(runs.repartitionByRange(n, "url_key", "ts", "page_id").mapInArrow(run, f"{_ENTRY}, range_no int, position long"), "capture-index")
+    return written(runs.repartitionByRange(n, "url_key", "ts", "page_id", "path", "offset").mapInArrow(run, f"{_ENTRY}, range_no int, position long"), "capture-index")
 
 
 _READ = "page_id long, url_key string, ts long, record_type string, refers_to long, payload binary, payload_digest string, intact boolean"
@@ -230,8 +247,6 @@ def read_archives(index: DataFrame) -> DataFrame:
     """The records at the entries of ``index``: payload (empty for a revisit), the digest in the header, and whether header and content agree with it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyarrow import fs
-
         store, name, source = None, None, None
         for b in batches:
             for lo in range(0, b.num_rows, 200):
@@ -241,15 +256,15 @@ def read_archives(index: DataFrame) -> DataFrame:
                     if path != name:
                         if source:
                             source.close()
-                        store = store or fs.FileSystem.from_uri(folder)[0]
+                        store = store or store_of(folder)[0]
                         name, source = path, store.open_input_file(path)
                     source.seek(offset)
                     headers, payload = parsed(zlib.decompress(source.read(length), 31))
                     kind = headers["warc-type"]
-                    page, refers = (headers.get(h, "").removeprefix("<urn:page:").removesuffix(">") for h in ("warc-record-id", "warc-refers-to"))
+                    page, refers = (page_of(headers.get(h, "")) for h in ("warc-record-id", "warc-refers-to"))
                     own = headers["warc-payload-digest"].removeprefix("sha256:")
                     intact = own == digest and (kind == "revisit" or hashlib.sha256(payload).hexdigest() == own)
-                    out.append((int(page) if page else None, key, ts, kind, int(refers) if refers else None, payload, own, intact))
+                    out.append((page, key, ts, kind, refers, payload, own, intact))
                 types = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.binary(), pa.string(), pa.bool_()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*out, strict=True)) or [[]] * 8, types, strict=True)], names=[x.split()[0] for x in _READ.split(", ")])
         if source:
