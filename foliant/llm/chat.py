@@ -11,13 +11,14 @@ first turn that a third of all conversations share is one row. Sums can't overfl
 41-bit hashes and the number of turns identify a prefix.
 
 Edge cases: a null role or text differs from every string but equals itself; null turns come first; equal
-turn numbers are ordered by role and text; rows without a conversation id form one conversation;
+turn numbers are ordered by role and then by the SHA-256 of the text, so that no text has to be sorted (a null counts
+as empty there, behind an empty one); rows without a conversation id form one conversation;
 repeated rows are repeated turns; extra columns are ignored; an empty table gives an empty table.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from foliant.llm.common import table, written
@@ -26,9 +27,15 @@ TEMPLATE = "<|{role}|>\n{text}\n<|end|>\n"
 _HASHES = ("h1", "h2", "h3")
 
 
+def _order() -> list[Column]:
+    """Turns of a conversation in order, also where turn numbers are equal or null."""
+    role = F.coalesce("role", F.lit(""))
+    return [F.col("turn").isNotNull(), F.col("turn"), role, F.col("digest"), F.col("role").isNull(), F.col("no_text")]
+
+
 def prefixes(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
     """(conv, place, n, h1, h2, h3), a row for each turn: the rolling hashes of the prefix that ends there, and the number of turns in all."""
-    order = Window.partitionBy("conv").orderBy("turn", "role", "digest")
+    order = Window.partitionBy("conv").orderBy(*_order())
     digest = F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256)
     rows = turns.select(
         F.col(conv_col).alias("conv"), F.col(turn_col).alias("turn"), F.col(role_col).alias("role"), F.col(text_col).isNull().alias("no_text"), digest.alias("digest")
@@ -57,7 +64,8 @@ def collapse(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn"
     rows = turns.select(F.col(conv_col).alias("conv"), F.col(turn_col).alias("turn"), F.col(role_col).alias("role"), F.col(text_col).alias("text"))
     rows = rows.join(kept, F.col("conv").eqNullSafe(F.col("_conv")))
     digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
-    ordered = F.array_sort(F.collect_list(F.struct(F.coalesce("turn", F.lit(-(1 << 62))).alias("turn"), F.coalesce("role", F.lit("")).alias("role"), digest.alias("digest"), piece.alias("piece"))))
+    rows = rows.withColumns({"piece": piece, "digest": digest, "no_text": F.col("text").isNull()})
+    ordered = F.array_sort(F.collect_list(F.struct(*[c.alias(f"k{i}") for i, c in enumerate(_order())], "piece")))
     out = rows.groupBy("conv", "n", "n_equal").agg(F.array_join(F.transform(ordered, lambda x: x["piece"]), "").alias("rendered"))
     return out.select("conv", F.col("n").cast("long").alias("n_turns"), "n_equal", "rendered")
 
@@ -69,10 +77,11 @@ def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP8_SQL = """
 WITH t AS (
-  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS place, count(*) OVER (PARTITION BY conv_id) AS n, role, text,
-         string_agg('[' || length(coalesce(role, '')) || ':' || length(coalesce(text, '')) || ']' || coalesce(role, '') || coalesce(text, ''), '')
-           OVER (PARTITION BY conv_id ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING) AS prefix
+  SELECT conv_id, row_number() OVER turns AS place, count(*) OVER (PARTITION BY conv_id) AS n, role, text,
+         string_agg('[' || coalesce(length(role)::VARCHAR, 'null') || ':' || coalesce(length(text)::VARCHAR, 'null') || ']' || coalesce(role, '') || coalesce(text, ''), '')
+           OVER (turns ROWS UNBOUNDED PRECEDING) AS prefix
   FROM conversations
+  WINDOW turns AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), sha256(coalesce(text, '')), role IS NULL, text IS NULL)
 ), whole AS (
   SELECT min(conv_id) AS conv_id, n AS n_turns, count(*) AS n_equal, prefix FROM t WHERE place = n GROUP BY n, prefix
 ), maximal AS (
