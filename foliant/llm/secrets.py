@@ -17,12 +17,13 @@ extra columns are ignored; an empty table gives an empty table; an unknown or em
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliant.llm.common import table, written
+from foliant.llm.common import new_path, table, written
 
 #: Kind -> (pattern, group that must be long enough, its least length, rule version). Order matters for ties.
 RULES: dict[str, tuple[str, int, int, int]] = {
@@ -41,6 +42,36 @@ SCANNED = {"hex": r"[0-9a-f]{24,}", "access": r"AKIA[A-Z0-9]{16,}"}
 _SPAN = "array<struct<start: long, kind_no: int, kind: string, end: long>>"
 
 
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def starts(rows: Column) -> Column:
+    """Where each match of ``rows`` (array of n, gap) starts: the lengths before it, and its own gap.
+
+    Sums go by blocks of about the square root of the number of matches, so that no step copies what is already summed:
+    work grows with the power 1.5 of the number.
+    """
+    zero = F.lit(0).cast("long")
+    add = lambda some: F.aggregate(some, zero, lambda s, x: s + x)
+    steps = F.transform(rows, lambda x: (x["gap"] + x["n"]).cast("long"))
+    width = F.greatest(F.ceil(F.sqrt(F.size(rows))), F.lit(1)).cast("int")
+
+    def of_blocks(step: Column, w: Column) -> Column:
+        own = F.transform(F.sequence(F.lit(0), F.floor((F.size(step) - 1) / w).cast("int")), lambda b: add(F.slice(step, b * w + 1, w)))
+        return _bound(own, lambda t: F.transform(t, lambda _, b: add(F.slice(t, F.lit(1), b))))
+
+    def placed(step: Column, w: Column) -> Column:
+        block = lambda i: F.floor(i / w).cast("int")
+        return _bound(
+            of_blocks(step, w),
+            lambda before: F.transform(rows, lambda x, i: F.get(before, block(i)) + add(F.slice(step, block(i) * w + 1, F.pmod(i, w))) + x["gap"]),
+        )
+
+    return _bound(steps, lambda step: _bound(width, lambda w: placed(step, w)))
+
+
 def spans_of(text: Column, kind: str) -> Column:
     """Array of (start, kind_no, kind, end) of a rule's matches that are long enough; offsets in code points, end exclusive."""
     pattern, group, least, _ = RULES[kind]
@@ -50,22 +81,11 @@ def spans_of(text: Column, kind: str) -> Column:
     measured = F.regexp_extract_all(text, pattern, F.lit(group)) if group else hits
     gaps = F.transform(F.split(text, SCANNED.get(kind, RULES[kind][0]), -1), F.length)
     rows = F.arrays_zip(F.transform(hits, F.length).alias("n"), F.transform(measured, F.length).alias("m"), F.slice(gaps, F.lit(1), F.size(hits)).alias("gap"))
-    start = F.aggregate(
-        rows,
-        F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(_SPAN).alias("out")),
-        lambda acc, r: F.struct(
-            (acc["at"] + r["gap"] + r["n"]).alias("at"),
-            F.when(
-                r["m"] >= least,
-                F.array_append(
-                    acc["out"],
-                    F.struct((acc["at"] + r["gap"]).alias("start"), F.lit(number).alias("kind_no"), F.lit(kind).alias("kind"), (acc["at"] + r["gap"] + r["n"]).alias("end")),
-                ),
-            ).otherwise(acc["out"]).alias("out"),
-        ),
-        lambda acc: acc["out"],
-    )
-    return F.when(F.regexp_like(text, pattern), start).otherwise(F.array().cast(_SPAN))
+    spans = _bound(rows, lambda r: _bound(starts(r), lambda at: F.transform(r, lambda x, i: F.struct(
+        x["m"].alias("m"), F.get(at, i).alias("start"), F.lit(number).alias("kind_no"), F.lit(kind).alias("kind"), (F.get(at, i) + x["n"]).alias("end")
+    ))))
+    kept = F.transform(F.filter(spans, lambda s: s["m"] >= least), lambda s: F.struct(s["start"], s["kind_no"], s["kind"], s["end"]))
+    return F.when(F.regexp_like(text, pattern), kept.cast(_SPAN)).otherwise(F.array().cast(_SPAN))
 
 
 def unseen(blobs: DataFrame, ledger: DataFrame | None, kinds: list[str]) -> DataFrame:
@@ -78,8 +98,16 @@ def unseen(blobs: DataFrame, ledger: DataFrame | None, kinds: list[str]) -> Data
     return left.filter(F.size("kinds") > 0).select("sha", "row", F.transform("kinds", lambda r: r["kind"]).alias("kinds"))
 
 
+_LEDGER = f"sha string, kind string, version int, spans {_SPAN}"
+
+
 def scan(docs: DataFrame, ledger: DataFrame | None = None, kinds: list[str] | None = None, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(findings, ledger): (id, sha, spans) a row for each row of ``docs``, and (sha, kind, version, spans) with the pairs scanned now added."""
+    return _scan(docs, ledger, kinds, id_col, text_col)[:2]
+
+
+def _scan(docs: DataFrame, ledger: DataFrame | None, kinds: list[str] | None, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(findings, ledger, the part of the ledger that is new)."""
     kinds = list(RULES) if kinds is None else kinds
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.sha2(text.cast("binary"), 256).alias("sha"))
@@ -88,15 +116,31 @@ def scan(docs: DataFrame, ledger: DataFrame | None = None, kinds: list[str] | No
     blobs = addressed.groupBy("sha").agg(F.min(F.struct("id")).alias("row"))
     todo = unseen(blobs, ledger, kinds).select("sha", F.col("row.id").alias("id"), "kinds").withColumnsRenamed({"sha": "_sha", "id": "_id"})
     chosen = rows.join(todo, F.col("id").eqNullSafe(F.col("_id")) & (F.col("sha") == F.col("_sha")))
-    found = F.array(*[F.struct(F.lit(k).alias("kind"), F.lit(RULES[k][3]).alias("version"), spans_of(F.col("text"), k).alias("spans")) for k in kinds])
-    scanned = chosen.select("sha", "kinds", F.explode(found).alias("f")).filter(F.array_contains("kinds", F.col("f.kind"))).select("sha", "f.*")
+    wanted = lambda k: F.when(F.array_contains("kinds", k), spans_of(F.col("text"), k))  # noqa: E731  only rules the ledger lacks are run
+    found = F.array(*[F.struct(F.lit(k).alias("kind"), F.lit(RULES[k][3]).alias("version"), wanted(k).alias("spans")) for k in kinds])
+    scanned = chosen.select("sha", F.explode(found).alias("f")).select("sha", "f.*").filter("spans IS NOT NULL")
     new = written(scanned.dropDuplicates(["sha", "kind", "version"]), "ledger")
     every = new if ledger is None else ledger.select("sha", "kind", "version", "spans").unionByName(new)
     current = reduce(lambda a, b: a | b, [(F.col("kind") == k) & (F.col("version") == RULES[k][3]) for k in kinds])
     by_blob = every.filter(current & (F.size("spans") > 0)).groupBy("sha").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
     by_blob = written(by_blob, "findings")
     back = addressed.join(by_blob, "sha", "left").select("id", "sha", F.coalesce("spans", F.array().cast(_SPAN)).alias("spans"))
-    return back, every
+    return back, every, new
+
+
+def scan_into(docs: DataFrame, path: str, kinds: list[str] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The findings of :func:`scan` against the ledger kept at ``path`` (made if it isn't there), to which the pairs scanned now are added.
+
+    A run that fails adds nothing; two runs at once may add a pair twice, which is read as one.
+    """
+    spark = docs.sparkSession
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    known = None
+    if where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(where):
+        known = spark.read.schema(_LEDGER).parquet(path).dropDuplicates(["sha", "kind", "version"])
+    found, _, new = _scan(docs, known, kinds, id_col, text_col)
+    new.write.mode("append").parquet(path)
+    return found
 
 
 def joined_spans(spans: Column) -> Column:
@@ -104,8 +148,9 @@ def joined_spans(spans: Column) -> Column:
     return F.array_join(parts, ",")
 
 
-def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found, _ = scan(table(spark, sf_dir, "documents"))
+def op10_secrets(spark: SparkSession, sf_dir: str, ledger_path: str | None = None) -> DataFrame:
+    """``ledger_path``: a ledger of earlier scans to go on from and add to; without it a new one is made."""
+    found = scan_into(table(spark, sf_dir, "documents"), ledger_path or new_path(spark, "secret-ledger"))
     count = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long")
     base = F.filter("spans", lambda s: s["kind"].isin(*BASE))
     return found.select(

@@ -60,7 +60,7 @@ def test_best_fit_is_best_fit():
 def test_packing_loses_nothing(spark):
     texts = [(1, "a long text " * 400), (2, "short"), (3, ""), (4, None), (5, "mid " * 30), (5, "mid " * 30)]
     rows = packing.pack_texts(spark.createDataFrame(texts, "doc_id bigint, text string"), row_tokens=64, shard_bytes=1024).collect()
-    codec, parts = bpe.Codec.of(*bpe._defaults(None, None)), defaultdict(list)
+    codec, parts = bpe.Codec.of(*bpe.defaults(None, None)), defaultdict(list)
     for r in rows:
         matrix = np.fromfile(r["file"] + ".ids", "<u2").reshape(-1, 64)
         resets = np.unpackbits(np.fromfile(r["file"] + ".resets", np.uint8), bitorder="little").reshape(-1, 64)
@@ -130,3 +130,71 @@ def test_snapshots_collapse(spark):
 def test_chat_sql(spark, oracle):
     columns, rows = oracle(chat.OP8_SQL, "sf0.001")
     same_rows(chat.op8_chat(spark, f"{DATA}/sf0.001"), columns, rows)
+
+
+def test_archives_of_any_id(spark):
+    ids = [9_000_000_000_000, -80_000_000_000, (1 << 63) - 1, -(1 << 63), None, None, 5, 5]
+    rows = [(i, f"http://h.example/{k}", "<p>" + "y" * 150) for k, i in enumerate(ids)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    runs, _ = warc.write_archives(pages)
+    got = warc.read_archives(warc.merge_index(runs)).collect()
+    assert sorted(repr(r["page_id"]) for r in got) == sorted(map(repr, ids)) and all(r["intact"] for r in got)
+    assert sum(r["record_type"] == "response" for r in got) == 1 and {r["refers_to"] for r in got if r["record_type"] == "revisit"} == {-(1 << 63)}
+    assert warc.warc_date(-(1 << 62)) == "0001-01-01T00:00:00Z" and warc.warc_date(1 << 62) == "9999-12-31T23:59:59Z" and warc.warc_date(0) == "1970-01-01T00:00:00Z"
+
+
+def test_record_ids_differ_for_repeated_rows(spark):
+    html = "<p>" + "y" * 150
+    pages = spark.createDataFrame([(1, "u", html), (1, "u", html), (1, "v", "short"), (1, "v", "short"), (2, "u", html)], "page_id bigint, url string, html string")
+    planned = warc.plan_records(pages, "page_id", "url", "html", None).collect()
+    ids = [warc.record_id(r["page_id"], r["digest"], r["nth"]) for r in planned]
+    assert len(set(ids)) == len(ids) and [warc.page_of(i) for i in ids] == [r["page_id"] for r in planned]
+    of_response = {warc.record_id(r["page_id"], r["digest"], r["nth"]) for r in planned if r["kind"] == "response"}
+    assert {warc.record_id(r["refers_to"], r["digest"], 1) for r in planned if r["kind"] == "revisit"} <= of_response
+
+
+def test_ids_as_wide_as_the_vocabulary(spark, tmp_path):
+    import base64
+
+    ranks = tmp_path / "wide.tiktoken"
+    ranks.write_text("".join(f"{base64.b64encode(bytes([b])).decode()} {70_000 + b}\n" for b in range(256)))
+    docs = spark.createDataFrame([(None, "abc", "x"), (1, "z" * 40, "y")], "doc_id bigint, text string, ids string")
+    rows = packing.pack_texts(docs, row_tokens=16, ranks_path=str(ranks), pattern=r"\S+|\s+").collect()
+    assert sorted(x for r in rows for x in np.fromfile(r["file"] + ".ids", "<u4").reshape(-1, 16)[r["row"]][: r["n_tokens"]]) == sorted([70_000 + ord(c) for c in "abc" + "z" * 40])
+    assert {d for r in rows for d in r["doc_ids"]} == {None, 1}
+
+
+def test_ties_and_null_turns_keep_the_order_of_the_sql(spark, tmp_path):
+    import duckdb
+
+    rows = [
+        (1, 0, "user", "b"), (1, 0, "user", "a"), (1, None, "user", "first"), (2, 0, None, "x"), (2, 0, "", "x"), (2, 0, "", None), (2, 0, "", ""), (3, 1, "user", "r"), (3, 1, "user", "r"), (4, 1, "user", "r"),
+        (None, 2, "a", "t"), (None, 1, None, None),
+    ]
+    spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet' WHERE conv_id IS NOT NULL")
+    rel = con.sql(chat.OP8_SQL)
+    got = chat.op8_chat(spark, str(tmp_path))
+    assert got.filter("conv_id IS NULL").count() == 1
+    same_rows(got.filter("conv_id IS NOT NULL"), rel.columns, rel.fetchall())
+
+
+def test_many_secrets_in_one_text(spark):
+    text = " ".join(f"é{i} token: abcdef{i}" for i in range(20_000))
+    found, _ = secrets.scan(spark.createDataFrame([(1, text)], "doc_id bigint, text string"), kinds=["assign", "access"])
+    spans = found.first()["spans"]
+    assert len(spans) == 20_000 and all(text[s["start"] : s["end"]].startswith("token: abcdef") for s in spans)
+    assert text[spans[-1]["start"] : spans[-1]["end"]] == "token: abcdef19999"
+
+
+def test_ledger_on_disk_grows_by_what_is_new(spark, tmp_path):
+    path = str(tmp_path / "ledger")
+    docs = spark.createDataFrame([(1, f"token: {HEX}"), (2, "clean"), (3, None)], "doc_id bigint, text string")
+    read = lambda: spark.read.parquet(path)
+    first = {r["id"]: len(r["spans"]) for r in secrets.scan_into(docs, path, ["assign"]).collect()}
+    assert first == {1: 1, 2: 0, 3: 0} and read().count() == 3
+    more = docs.unionByName(spark.createDataFrame([(4, f"token: {HEX}"), (5, "new text")], docs.schema))
+    again = {r["id"]: len(r["spans"]) for r in secrets.scan_into(more, path, ["assign", "hex"]).collect()}
+    assert again == {1: 2, 2: 0, 3: 0, 4: 2, 5: 0}
+    assert read().count() == 3 + 3 + 2 and read().select("sha", "kind", "version").distinct().count() == 8
