@@ -86,7 +86,7 @@ class Codec:
         return [m.end() for m in self.pattern.finditer(text) if not text[m.end() - 1].isspace()]
 
 
-def _defaults(ranks_path: str | None, pattern: str | None) -> tuple[str, str]:
+def defaults(ranks_path: str | None, pattern: str | None) -> tuple[str, str]:
     if ranks_path and pattern:
         return ranks_path, pattern
     import public_tokenizers as P
@@ -186,7 +186,7 @@ def encode(
     Null is empty. Each row of ``docs`` is its own text, also where ids repeat. With ``then``, a function over batches of
     pieces and its schema, that function's rows come instead, made in the same worker and in no order of pieces.
     """
-    ranks_path, pattern = _defaults(ranks_path, pattern)
+    ranks_path, pattern = defaults(ranks_path, pattern)
     rows_of = _encode_rows(ranks_path, pattern)
     run = lean(lambda batches: then[0](rows_of(batches))) if then else lean(rows_of)
     schema = then[1] if then else _PIECE
@@ -240,12 +240,12 @@ def _decode_rows(ranks_path: str, pattern: str):
 
 def decode(pieces: DataFrame, ranks_path: str | None = None, pattern: str | None = None) -> DataFrame:
     """Adds bytes: the raw bytes of the ids of each piece, to be concatenated in order."""
-    return pieces.mapInArrow(_decode_rows(*_defaults(ranks_path, pattern)), f"{_PIECE}, bytes binary")
+    return pieces.mapInArrow(_decode_rows(*defaults(ranks_path, pattern)), f"{_PIECE}, bytes binary")
 
 
 def digests(pieces: DataFrame, ranks_path: str | None = None, pattern: str | None = None) -> DataFrame:
     """Decodes the pieces of each row, in order, and folds ids and bytes into digests, a piece at a time."""
-    decoded = _decode_rows(*_defaults(ranks_path, pattern))
+    decoded = _decode_rows(*defaults(ranks_path, pattern))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         text_of: list[str] = []

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliant.llm import bpe
-from foliant.llm.common import new_path, shuffle_width, table, written
+from foliant.llm.common import new_path, shuffle_width, store_of, table, written
 
 ROW_TOKENS = 2048
 SHARD_BYTES = 8 << 20
@@ -114,9 +114,7 @@ def pack(found: DataFrame, n_shards: int, folder: str, row_tokens: int = ROW_TOK
     kind = np.dtype(f"<u{id_bytes}")
 
     def packed(shard: int, rows: list[tuple]) -> pa.RecordBatch:
-        from pyarrow import fs
-
-        store, root = fs.FileSystem.from_uri(folder)
+        store, root = store_of(folder)
         store.create_dir(root, recursive=True)
         name = f"{root}/shard-{shard:06d}-{TaskContext.get().taskAttemptId()}"
         rows.sort(key=lambda r: (-r[3], r[4], r[0] is not None, r[0] or 0, r[1], r[2]))
@@ -159,11 +157,21 @@ def pack(found: DataFrame, n_shards: int, folder: str, row_tokens: int = ROW_TOK
     return written(dealt.repartition(width, "shard").sortWithinPartitions("shard").mapInArrow(run, _PACKED), "packed")
 
 
-def pack_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_tokens: int = ROW_TOKENS, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """The rows of :func:`pack` for all texts of ``docs``."""
+def id_width(ranks_path: str, pattern: str) -> int:
+    """Bytes an id takes: 2 where the vocabulary allows it, else 4."""
+    return 2 if max(bpe.Codec.of(ranks_path, pattern).ranks.values(), default=0) < 1 << 16 else 4
+
+
+def pack_texts(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_tokens: int = ROW_TOKENS, shard_bytes: int = SHARD_BYTES,
+    ranks_path: str | None = None, pattern: str | None = None,
+) -> DataFrame:
+    """The rows of :func:`pack` for all texts of ``docs``; ids are as wide as the vocabulary needs."""
+    ranks_path, pattern = bpe.defaults(ranks_path, pattern)
+    width = id_width(ranks_path, pattern)
     size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
-    found = bpe.encode(docs, id_col, text_col, then=segments(row_tokens))
-    return pack(found, max(1, -(-size // shard_bytes)), new_path(docs.sparkSession, "matrices"), row_tokens)
+    found = bpe.encode(docs, id_col, text_col, ranks_path, pattern, then=segments(row_tokens, width))
+    return pack(found, max(1, -(-size // shard_bytes)), new_path(docs.sparkSession, "matrices"), row_tokens, width)
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
