@@ -47,3 +47,14 @@ def test_decode_gives_the_bytes_back(spark):
 
 def test_empty_table(spark):
     assert bpe.digests(bpe.encode(spark.createDataFrame([], "doc_id bigint, text string"))).count() == 0
+
+
+def test_real_texts_longer_than_a_chunk(spark, library):
+    text = "\n".join(f"Línea {i}: it's the {i * 7}th line, with words  and   gaps {'x' * (i % 13)}." for i in range(1500))
+    assert len(text) > 2 * bpe.CHUNK_CHARS
+    pieces = bpe.encode(spark.createDataFrame([(1, text), (2, "a" * 70_000)], "doc_id bigint, text string"))
+    got = {r["doc_id"]: (r["n_tokens"], r["ids_sha256"]) for r in bpe.digests(pieces).collect()}
+    for i, t in ((1, text), (2, "a" * 70_000)):
+        ids = library.encode_ordinary(t)
+        assert got[i] == (len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest())
+    assert pieces.filter("doc_id = 1 AND piece > 0").count() > 0
