@@ -1,10 +1,9 @@
-"""Shared plumbing of the training-data operators: tables, shared storage, row keys."""
+"""Shared plumbing of the training-data operators: tables, sums over rows, row keys."""
 
 from __future__ import annotations
 
 import contextlib
 import ctypes
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -13,8 +12,10 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Used only where the session names no checkpoint folder (single-machine tests).
-LOCAL_SHARED = "/tmp/foliant-shared"
+from foliant.session import forget, new_path, shared_dir, written
+
+__all__ = ["forget", "keep_rows", "lean", "new_path", "row_key", "shared_dir", "shuffle_width", "store_of", "summed", "table", "written"]
+
 #: Tasks that add up the partitions' sums, and rows of sums that reach the driver.
 SUMMING_TASKS = 4
 
@@ -23,45 +24,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, or a local one where it is unset."""
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if not where:
-        set_dir = spark.sparkContext._jsc.sc().getCheckpointDir()
-        if set_dir.isDefined():
-            return set_dir.get()
-        spark.sparkContext.setCheckpointDir(LOCAL_SHARED)
-        where = LOCAL_SHARED
-    return where.rstrip("/")
-
-
-def new_path(spark: SparkSession, tag: str) -> str:
-    return f"{shared_dir(spark)}/foliant/{tag}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, tag: str) -> DataFrame:
-    """Cut lineage: write ``df`` as a Parquet table in the shared folder and read it back.
-
-    A lost executor costs only the tasks it ran; readers of the table never recompute ``df``.
-    """
-    spark = df.sparkSession
-    path = new_path(spark, tag)
-    df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._foliant_path = path
-    return out
-
-
-def forget(df: DataFrame) -> None:
-    """Delete a table made by :func:`written` that nothing reads any more."""
-    path = getattr(df, "_foliant_path", None)
-    if path:
-        jvm = df.sparkSession._jvm
-        where = jvm.org.apache.hadoop.fs.Path(path)
-        conf = df.sparkSession._jsparkSession.sessionState().newHadoopConf()
-        where.getFileSystem(conf).delete(where, True)
-
-
 def lean(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     """``run`` for mapInArrow, handing freed memory back when a task ends: workers are used again by later stages."""
 

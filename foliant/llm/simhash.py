@@ -164,7 +164,7 @@ def _verify(bits: int, block: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         links = _Links()
-        keys, fps = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        held: list[tuple[np.ndarray, np.ndarray]] = []  # rows from the last key's first one on
 
         def runs(keys: np.ndarray, fps: np.ndarray) -> Iterator[pa.RecordBatch]:
             if not len(keys):
@@ -193,12 +193,16 @@ def _verify(bits: int, block: int):
 
         for b in batches:
             k, x = (b.column(c).to_numpy(zero_copy_only=False) for c in ("key", "fp"))
-            keys, fps = np.concatenate([keys, k]), np.concatenate([fps, x])
-            if len(keys) and len(keys) >= 200_000:
-                whole = int(np.searchsorted(keys, keys[-1]))  # the last key may go on
+            if not len(k):
+                continue
+            held.append((k, x))
+            if sum(len(k) for k, _ in held) >= 200_000 and held[0][0][0] != k[-1]:  # the last key may go on
+                keys, fps = (np.concatenate(c) for c in zip(*held, strict=True))
+                whole = int(np.searchsorted(keys, keys[-1]))
                 yield from runs(keys[:whole], fps[:whole])
-                keys, fps = keys[whole:], fps[whole:]
-        yield from runs(keys, fps)
+                held = [(keys[whole:], fps[whole:])]
+        if held:
+            yield from runs(*(np.concatenate(c) for c in zip(*held, strict=True)))
         a, b = links.forest()
         yield _work(None, None, None, a, b)
 
@@ -252,16 +256,20 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         state = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()
         if state == before or not state[0]:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+            out = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+            out._foliant_path = edges._foliant_path
+            return out
         before = state
+        # each aggregate is a table before it is joined: a hub's rows then come from a plain exchange, which can be split
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("low"))
-        large = both.join(low, "a").filter("b > a").select(F.col("b").alias("a"), F.col("low").alias("b")).distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("low"))
-        small = large.join(low, "a")
-        small = small.select(F.col("b").alias("a"), F.col("low").alias("b")).filter("a <> b").unionByName(low.select("a", F.col("low").alias("b"))).distinct()
+        low = written(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("low")), "star-centres")
+        large = written(both.join(low, "a").filter("b > a").select(F.col("b").alias("a"), F.col("low").alias("b")).distinct(), "large-stars")
+        centres = written(large.groupBy("a").agg(F.min("b").alias("low")), "star-centres")
+        small = large.join(centres, "a")
+        small = small.select(F.col("b").alias("a"), F.col("low").alias("b")).filter("a <> b").unionByName(centres.select("a", F.col("low").alias("b"))).distinct()
         old, edges = edges, written(small, "stars")
-        forget(old)
+        for t in (old, low, large, centres):
+            forget(t)
 
 
 def near_duplicates(
@@ -273,9 +281,12 @@ def near_duplicates(
     prints = written(fingerprints(docs, id_col, text_col, words, seed), "fingerprints")
     groups = written(prints.groupBy("fp").agg(F.min("id").alias("first")), "fingerprint-groups")
     roots = components(links(groups, bits, block))
-    rooted = groups.join(roots, groups.fp == roots.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    named = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    return prints.join(rooted.join(named, "root").select("fp", "component_id"), "fp").select("id", "k64", "fp", "component_id")
+    rooted = written(groups.join(roots, groups.fp == roots.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root")), "rooted-fingerprints")
+    named = written(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "components")
+    classes = written(rooted.join(named, "root").select("fp", "component_id"), "fingerprint-components")
+    for t in (groups, roots, rooted, named):
+        forget(t)
+    return prints.join(classes, "fp").select("id", "k64", "fp", "component_id")
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

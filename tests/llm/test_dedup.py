@@ -134,3 +134,19 @@ def test_fingerprint_column(spark):
     out = simhash.op4_simhash(spark, f"{DATA}/sf0.001")
     assert out.columns == ["doc_id", "fingerprint", "component_id"]
     assert out.filter(~F.col("fingerprint").rlike("^[0-9a-f]{16}$") | (F.col("component_id") > F.col("doc_id"))).count() == 0
+
+
+def test_simhash_of_null_and_repeated_ids(spark):
+    docs = spark.createDataFrame([(None, "one text of five words"), (7, "one text of five words"), (7, "one text of five words"), (None, None), (3, "")], "doc_id bigint, text string")
+    got = sorted(repr((r["id"], r["component_id"])) for r in simhash.near_duplicates(docs).collect())
+    assert got == sorted(map(repr, [(None, 7), (7, 7), (7, 7), (None, 3), (3, 3)]))
+
+
+def test_keys_that_go_on_over_batches(spark):
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    fps = spark.createDataFrame([(i,) for i in [0, 1, 3, 7, 15, 31, 63, 127, 1 << 40, (1 << 40) + 1, -1]], "fp bigint")
+    got = {(r["node"], r["root"]) for r in simhash.components(simhash.links(fps, block=4)).collect()}
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    linked = [0, 1, 3, 7, 15, 31, 63, 127, 1 << 40, (1 << 40) + 1]
+    assert got == {(n, 0) for n in linked[1:]}
