@@ -147,6 +147,14 @@ def cross_page_pairs(spark, sf_dir):
     return B.cross_page_pairs(R.document_blocks(_table(spark, sf_dir, "documents").withColumn("source", F.lit("all"))))
 
 
+@query("""SELECT doc_id, regexp_replace(translate(text, '.', '*'), 'x', '', 'g') AS text FROM (SELECT doc_id, replace(translate(text, 'x', ''), '!', '。') AS text FROM documents)""")
+def star_escapes(spark, sf_dir):
+    """Escaped stars behind a sentence's end lose the escape; documents whose full stops stand for such stars."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", F.translate(F.replace(F.translate("text", "x", ""), F.lit("!"), F.lit("。")), ".", "*").alias("text"))
+    escaped = docs.withColumn("text", F.replace("text", F.lit("。*"), F.lit("。\\*")))
+    return escaped.select("doc_id", T.without_star_escape(F.col("text")).alias("text"))
+
+
 @query()
 def reflow_cross_page(spark, sf_dir):
     blocks = R.conversation_blocks(_table(spark, sf_dir, "conversations").withColumn("text", F.regexp_replace("text", r"\.$", ""))).filter("type = 'text'")
@@ -228,9 +236,16 @@ def suspicion_flags(spark, sf_dir):
     return found.select("book_id", F.col("page").cast("bigint").alias("page"), F.col("block_ord").cast("bigint").alias("block_ord"), "text", "kind", "detail", "truncated")
 
 
-@query(f"{_with(X.FLAG_BLOCKS)}, all_blocks AS (SELECT * FROM flag_blocks), {_FLAG_SQL} SELECT book_id, CAST(page AS BIGINT) AS page, CAST(block_ord AS BIGINT) AS block_ord, text FROM opened")
+@query(f"""{_with(X.FLAG_BLOCKS, _DOC_BLOCKS)}, all_blocks AS (
+  SELECT book_id, CAST(page AS BIGINT) AS page, block_ord, type, text FROM flag_blocks UNION ALL SELECT 'all', page, block_ord, 'text', translate(text, 'TDEaeiou', '“““的一是不了') FROM doc_blocks), {_FLAG_SQL}
+SELECT book_id, page, CAST(block_ord AS BIGINT) AS block_ord, text FROM opened""")
 def page_open_quote(spark, sf_dir):
-    return B.open_quotes(X.FLAG_BLOCKS.df(spark)).select("book_id", F.col("page").cast("bigint").alias("page"), F.col("block_ord").cast("bigint").alias("block_ord"), "text")
+    """All documents as the pages of one book, some capitals standing for opening quotes, and the literal books."""
+    docs = R.document_blocks(_table(spark, sf_dir, "documents")).select(
+        F.lit("all").alias("book_id"), "page", "block_ord", F.lit("text").alias("type"), F.translate("text", "TDEaeiou", "“““的一是不了").alias("text")
+    )
+    own = X.FLAG_BLOCKS.df(spark).withColumn("page", F.col("page").cast("bigint"))
+    return B.open_quotes(own.unionByName(docs)).select("book_id", "page", F.col("block_ord").cast("bigint").alias("block_ord"), "text")
 
 
 _ANCHORS = f"""parts AS (SELECT item_id, i - 1 AS line_no, l[i] AS part, item FROM (
@@ -278,8 +293,8 @@ def _rules(spark: SparkSession) -> DataFrame:
 
 
 _BODY = "type IN ('text', 'paragraph_title', 'doc_title')"
-#: A rule for every conversation (a header is the role of the turn) and for every source (lines that name a licence).
-_ROLE_RULE, _LICENCE_RULE, _LICENCE = ("role", "header_blocks", 0.75), ("licence", "text_blocks", 0.6), "[Ll]icen[cs]e"
+#: Rules for every conversation (a header is the role of the turn, or its first line) and for every source (lines that begin with a capital).
+_ROLE_RULE, _LINE_RULE, _CAPITAL_RULE, _CAPITAL = ("role", "header_blocks", 0.75), ("first line", "header_blocks", 0.7), ("capital", "text_blocks", 0.6), "^[A-Z]"
 
 
 def _boundary_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -293,14 +308,14 @@ def _boundary_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _boundary_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     match = "struct<block_type: string, regex: string, max_len: int, exclude_text: array<string>, adjacent_short_block: boolean>"
 
-    def rule(books: DataFrame, of: tuple[str, str, float], block_type: str | None, regex: str | None) -> DataFrame:
+    def rule(books: DataFrame, of: tuple[str, str, float], block_type: str | None, regex: str | None, order: int = 0) -> DataFrame:
         fields = F.struct(F.lit(block_type), F.lit(regex), F.lit(None), F.lit(None), F.lit(False)).cast(match)
-        return books.distinct().select("book_id", F.lit(0).alias("rule_ord"), F.lit(of[0]).alias("name"), F.lit(of[1]).alias("target"), fields.alias("match"), F.lit(of[2]).alias("confidence"))
+        return books.distinct().select("book_id", F.lit(order).alias("rule_ord"), F.lit(of[0]).alias("name"), F.lit(of[1]).alias("target"), fields.alias("match"), F.lit(of[2]).alias("confidence"))
 
     convs = _table(spark, sf_dir, "conversations").select(F.concat(F.lit("conv-"), "conv_id").alias("book_id"))
     sources = _table(spark, sf_dir, "documents").select(F.concat(F.lit("doc-"), "source").alias("book_id"))
     own = _rules(spark).withColumn("match", F.col("match").cast(match))
-    return own.unionByName(rule(convs, _ROLE_RULE, "header", None)).unionByName(rule(sources, _LICENCE_RULE, None, _LICENCE))
+    return own.unionByName(rule(convs, _ROLE_RULE, "header", None)).unionByName(rule(convs, _LINE_RULE, "text", None, 1)).unionByName(rule(sources, _CAPITAL_RULE, None, _CAPITAL))
 
 
 _ALL_BLOCKS = f"""{_DOC_BLOCKS}, conv_lines AS (
@@ -313,7 +328,8 @@ _ALL_BLOCKS = f"""{_DOC_BLOCKS}, conv_lines AS (
 ), all_rules AS (
   SELECT book_id, rule_ord, name, target, block_type, regex, exclude, confidence FROM rules
   UNION ALL SELECT DISTINCT 'conv-' || conv_id, 0, '{_ROLE_RULE[0]}', '{_ROLE_RULE[1]}', 'header', NULL, NULL, CAST({_ROLE_RULE[2]} AS DOUBLE) FROM conversations
-  UNION ALL SELECT DISTINCT 'doc-' || source, 0, '{_LICENCE_RULE[0]}', '{_LICENCE_RULE[1]}', NULL, '{_LICENCE}', NULL, CAST({_LICENCE_RULE[2]} AS DOUBLE) FROM documents)"""
+  UNION ALL SELECT DISTINCT 'conv-' || conv_id, 1, '{_LINE_RULE[0]}', '{_LINE_RULE[1]}', 'text', NULL, NULL, CAST({_LINE_RULE[2]} AS DOUBLE) FROM conversations
+  UNION ALL SELECT DISTINCT 'doc-' || source, 0, '{_CAPITAL_RULE[0]}', '{_CAPITAL_RULE[1]}', NULL, '{_CAPITAL}', NULL, CAST({_CAPITAL_RULE[2]} AS DOUBLE) FROM documents)"""
 _BY_HEADER = f"""h AS (
   SELECT b.book_id, rule_ord, name, confidence, page, arg_min(text, block_ord) AS header FROM all_blocks b JOIN all_rules r ON b.book_id = r.book_id AND target = 'header_blocks' AND b.type = r.block_type
   WHERE exclude IS NULL OR {_norm("text")} <> {_norm("exclude")} GROUP BY ALL
@@ -350,17 +366,17 @@ def boundaries(spark, sf_dir):
     return B.boundaries(_boundary_blocks(spark, sf_dir), _boundary_rules(spark, sf_dir))
 
 
-@query(f"""{_with(X.BLOCKS)}, k AS (SELECT DISTINCT book_id, {_norm("text")} AS chapter_key FROM blocks WHERE type IN ('text', 'paragraph_title') AND regexp_matches({_bare("text")}, '^\\d{{1,2}}[.、]\\s*\\S{{2,30}}$'))
+@query(f"""{_with(X.BLOCKS, X.RULES, _ALL_BLOCKS)}, k AS (SELECT DISTINCT book_id, {_norm("text")} AS chapter_key FROM all_blocks WHERE type IN ('text', 'paragraph_title') AND regexp_matches({_bare("text")}, '{T.NUMBERED_CHAPTER}'))
 SELECT * FROM k WHERE book_id IN (SELECT book_id FROM k GROUP BY book_id HAVING count(*) >= 3)""")
 def numbered_chapters(spark, sf_dir):
-    return B.numbered_chapters(X.BLOCKS.df(spark))
+    return B.numbered_chapters(_boundary_blocks(spark, sf_dir))
 
 
-@query(f"""{_with(X.BLOCKS)} SELECT book_id, family, count(*) AS votes FROM (
-  SELECT book_id, CASE WHEN regexp_matches({_bare("text")}, '{T.ORDINAL_FAMILIES["其"]}') THEN '其' WHEN regexp_matches({_bare("text")}, '{T.ORDINAL_FAMILIES["第"]}') THEN '第' END AS family FROM blocks WHERE type = 'paragraph_title')
+@query(f"""{_with(X.BLOCKS, X.RULES, _ALL_BLOCKS)} SELECT book_id, family, count(*) AS votes FROM (
+  SELECT book_id, CASE WHEN regexp_matches({_bare("text")}, '{T.ORDINAL_FAMILIES["其"]}') THEN '其' WHEN regexp_matches({_bare("text")}, '{T.ORDINAL_FAMILIES["第"]}') THEN '第' END AS family FROM all_blocks WHERE type = 'paragraph_title')
 WHERE family IS NOT NULL GROUP BY ALL HAVING count(*) >= 2""")
 def ordinal_families(spark, sf_dir):
-    return B.ordinal_families(X.BLOCKS.df(spark))
+    return B.ordinal_families(_boundary_blocks(spark, sf_dir))
 
 
 @query(f"""WITH RECURSIVE {X.PLACE_LINES.cte}, {X.PLACE_TITLES.cte}, titles AS (
