@@ -198,3 +198,8 @@ def test_ledger_on_disk_grows_by_what_is_new(spark, tmp_path):
     again = {r["id"]: len(r["spans"]) for r in secrets.scan_into(more, path, ["assign", "hex"]).collect()}
     assert again == {1: 2, 2: 0, 3: 0, 4: 2, 5: 0}
     assert read().count() == 3 + 3 + 2 and read().select("sha", "kind", "version").distinct().count() == 8
+
+
+def test_chats_run_no_python(spark):
+    plan = chat.op8_chat(spark, f"{DATA}/sf0.001")._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "InPandas" not in plan
