@@ -43,3 +43,38 @@ def test_empty_tables(spark):
     none = spark.createDataFrame([], "item_id bigint, text string")
     assert hits(D.find_contamination(docs, none).collect()) == {1: (1, [], [])}
     assert D.find_contamination(docs.limit(0), none).count() == 0
+
+
+def test_repeated_rows_stay_apart(spark):
+    docs = spark.createDataFrame([(1, "a b c"), (1, "a b c"), (None, "x a b c"), (None, None)], "doc_id bigint, text string")
+    bench = spark.createDataFrame([(1, "b c")], "item_id bigint, text string")
+    got = sorted(repr((r["id"], r["firsts"], r["items"])) for r in D.find_contamination(docs, bench).collect())
+    assert got == sorted(map(repr, [(1, [1], [1]), (1, [1], [1]), (None, [2], [1]), (None, [], [])]))
+
+
+def test_searches_against_brute_force(spark):
+    import random
+
+    rng = random.Random(0)
+    for window, slop in ((3, 0), (3, 1), (4, 2)):
+        texts = [[rng.choice("abcde") for _ in range(rng.randint(0, 40))] for _ in range(60)]
+        items = [[rng.choice("abcde") for _ in range(rng.randint(0, 7))] for _ in range(8)]
+        docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id bigint, text string").repartition(3)
+        bench = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id bigint, text string")
+        for r in D.find_contamination(docs, bench, window=window, slop=slop, block_words=rng.choice([10, 1000])).collect():
+            words, exact, near, covered = texts[r["id"]], set(), set(), set()
+            for n, item in enumerate(items):
+                for at in range(max(1, len(item) - window + 1)) if item else ():
+                    wanted = item[at : at + window]
+                    for p in range(len(words)):
+                        if words[p : p + len(wanted)] == wanted:
+                            exact.add(n)
+                            covered.update(range(p, p + len(wanted)))
+                        k, q = 0, p
+                        while q < min(len(words), p + len(wanted) + slop) and k < len(wanted):
+                            k += words[q] == wanted[k]
+                            q += 1
+                        if k == len(wanted):
+                            near.add(n)
+            assert r["exact_items"] == sorted(exact) and r["items"] == sorted(near if slop else exact)
+            assert {p for a, b in zip(r["exact_firsts"], r["exact_lasts"], strict=True) for p in range(a, b + 1)} == covered
