@@ -87,6 +87,11 @@ def test_unique_anchor_edges(spark):
     parts = spark.createDataFrame([(1, "b cd e"), (2, "cd"), (3, "cd ef gh"), (4, ""), (5, None)], "part_id bigint, part string")
     got = {(r["part_id"], r["book_id"], r["n"]) for r in anchors(texts, parts).collect()}
     assert got == {(1, 1, 1), (2, 1, 1), (2, 2, 1), (2, 3, 2), (3, 3, 2)}
+    more = spark.createDataFrame([(6, "b c"), (7, "d e"), (8, " "), (9, "  "), (10, "xc"), (11, "d  e"), (12, "h cd "), (13, " ab")], "part_id bigint, part string")
+    wide = texts.unionByName(spark.createDataFrame([(5, "d  e"), (6, "")], texts.schema))
+    got = {(r["part_id"], r["book_id"], r["n"]) for r in anchors(wide, more).collect()}
+    plain = {r["book_id"]: r["text"] or "" for r in wide.collect()}
+    assert got == {(r["part_id"], b, t.count(r["part"])) for r in more.collect() for b, t in plain.items() if r["part"] in t}
 
 
 def test_catalogue_has_all_queries():
