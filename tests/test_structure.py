@@ -6,6 +6,7 @@ from foliant.operators import blocks as B
 from foliant.operators import footnotes, integrity, scouting, verifying
 from foliant.operators import lines as L
 from foliant.plans import catalogue, fixtures
+from tests.conftest import DATA
 
 BLOCKS = "book_id string, page int, block_ord int, type string, text string"
 
@@ -27,7 +28,7 @@ def test_running_heads(spark):
 
 
 def test_boundaries(spark):
-    got = {(r["book_id"], r["page"], r["title"], r["author"]) for r in catalogue.boundaries(spark, "").collect()}
+    got = {(r["book_id"], r["page"], r["title"], r["author"]) for r in catalogue.boundaries(spark, f"{DATA}/sf0.001").collect()}
     assert {("g19", 2, "甲篇", "鲁迅"), ("g19", 4, "乙篇", "序言文字"), ("g20", 2, "第一编 起点", "起点"), ("far6", 1, "丙篇", "")} <= got
     assert not any(b == "far7" for b, *_ in got)
     assert {(b, p, t, a) for b, p, t, a in got if b == "bio"} == {("bio", 1, "故乡", "鲁迅"), ("bio", 2, "边城", "")}
