@@ -122,9 +122,9 @@ FROM open_lines o LEFT JOIN whole w USING (doc_id, line_no) LEFT JOIN sticky t U
 def strip_running_heads(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
     heads = B.running_heads(R.document_blocks(docs)).withColumnRenamed("book_id", "source")
-    per_doc = docs.select(F.col("doc_id").alias("book_id"), "source").join(heads, "source").select("book_id", "head_key", "head_text")
-    lines = R.document_lines(docs).withColumn("text", F.when(F.col("line_no") == 0, F.concat(F.lit("# "), F.col("text"))).otherwise(F.col("text")))
-    return L.strip_heads(lines, per_doc).select(F.col("book_id").alias("doc_id"), F.col("line_no").cast("bigint").alias("line_no"), "text", "how")
+    lines = docs.select(F.col("doc_id").alias("book_id"), "source", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "text"))
+    lines = lines.withColumn("text", F.when(F.col("line_no") == 0, F.concat(F.lit("# "), F.col("text"))).otherwise(F.col("text")))
+    return L.strip_heads(lines, heads, by="source").select(F.col("book_id").alias("doc_id"), F.col("line_no").cast("bigint").alias("line_no"), "text", "how")
 
 
 @query(f"""{_with(_doc_lines(_CJK))}, p AS (SELECT book_id, line_no, text, {_strip("text")} AS s, {_plain(_strip("text"))} AS plain FROM doc_lines
