@@ -32,7 +32,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group that links of whole texts (five-word shingles, similarity 0.8 or more) connect, the document with the smallest doc_id stays;
+    """SimHash fingerprints of five-word shingles meet by Golay codewords; of each group that links of whole texts (similarity 0.8 or more) connect, the document with the smallest doc_id stays;
     of repeats of it one. Empty texts are one group."""
     found = near_copies.near_copies(docs)
     return keep_rows(docs, found.filter(F.col("id").eqNullSafe(F.col("component_id"))).select("id", "k64"), one=True)

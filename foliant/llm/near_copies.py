@@ -1,11 +1,14 @@
-"""Near copies by the similarity of whole texts: five-word shingles, Jaccard similarity 0.8 or more.
+"""Near copies by SimHash and Golay-code fuzzy hashing, verified by whole texts: five-word shingles, Jaccard similarity 0.8 or more.
 
-Candidates. A text is the set of XXH64 hashes of its shingles. ``BANDS`` keys of ``ROWS`` minimum
-hashes each make candidates: texts of similarity s share no key with probability
-(1 - s ** ROWS) ** BANDS, 3e-6 at 0.8 and less above. Keys only propose: every link is verified on
-the sets of both whole texts.
+Candidates. A text's sketch is a SimHash of ``SECTIONS`` * 29 + 128 bits: bit i is 1 if it is set in over half of the
+hashes of its distinct shingles. A section is a 23-bit word and ``EXACT`` (6) more bits; its keys are the six bits, untouched, with each
+Golay codeword within 4 bits of the word (one or six). Texts of one key whose last 128 bits differ in ``MAX_BITS`` (40) or
+fewer are candidates. At similarity 0.8 a bit differs with probability 0.15 at most (texts of some ten words: 0.19), a section shares a key with
+probability 0.22, none of the sections does with 7e-7, and over 40 of 128 bits differ with about 1e-6. Keys and bits only propose: every
+link is verified on the sets of both whole texts.
 
-Work. Only distinct texts are keyed. First every text of a key is verified against the key's
+Work. Only distinct texts are keyed. Texts of a key fall into groups that chains of candidates connect; below, a key
+means such a group. First every text of a key is verified against the key's
 smallest node, in linear number, and what links is one component. What is left are keys of three
 or more texts that still belong to several components: of keys with the same texts one is kept, its
 texts are dealt out as pairs of blocks, and all pairs of different components are compared, so
@@ -27,13 +30,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from foliant.llm import golay
 from foliant.llm.common import forget, lean, row_key, shuffle_width, written
-from foliant.llm.simhash import _LOWER, SEED, components
+from foliant.llm.simhash import _LOWER, SEED, _Links, components
 
 SHINGLE_WORDS = 5
 #: Least similarity of a link, as a fraction: integers compare exactly.
 LEAST = (4, 5)
-BANDS, ROWS = 32, 5
+#: Sections of a sketch, and bits of a section that are taken as they are.
+SECTIONS, EXACT = 56, 6
+WIDTH = golay.LENGTH + EXACT
+#: 64-bit words of a sketch; the last two are compared.
+WORDS = -(-SECTIONS * WIDTH // 64) + 2
+#: Differing bits of a candidate pair, of 128.
+MAX_BITS = 40
 #: Texts of one key that are compared at once.
 BLOCK = 128
 
@@ -58,31 +68,136 @@ def similar(x: np.ndarray, y: np.ndarray) -> bool:
 
 
 @lru_cache(maxsize=1)
-def _factors() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _tables() -> tuple[np.ndarray, ...]:
+    """Random words by twelve bits of a hash; a shingle's bits are the XOR of three."""
     rng = np.random.default_rng(SEED)
-    draw = lambda n: rng.integers(0, 1 << 64, n, np.uint64)
-    return draw(BANDS * ROWS) | np.uint64(1), draw(BANDS * ROWS), draw(ROWS) | np.uint64(1)
+    return tuple(rng.integers(0, 1 << 64, (1 << 12, WORDS), np.uint64) for _ in range(3))
+
+
+def sketch(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """SimHash of a shingle set: its sections as integers, and its two last words."""
+    tables, count = _tables(), np.zeros(WORDS * 64, np.int64)
+    for lo in range(0, len(hashes), 255):
+        h = hashes[lo : lo + 255]
+        rows = np.zeros((len(h), WORDS), np.uint64)
+        for k, t in enumerate(tables):
+            rows ^= t[((h >> np.uint64(12 * k)) & np.uint64(0xFFF)).astype(np.int64)]
+        bits = np.unpackbits(rows.astype("<u8").view(np.uint8), bitorder="little").reshape(len(h), -1)
+        if not lo:
+            first = bits[0].astype(np.int64)  # that of the smallest hash, for ties
+        count += bits.sum(axis=0, dtype=np.uint8)  # 255 rows at most
+    bits = count * 2 + first > len(hashes)
+    sections = bits[: SECTIONS * WIDTH].reshape(SECTIONS, WIDTH) @ (1 << np.arange(WIDTH))
+    return sections.astype(np.int32), np.packbits(bits[-128:], bitorder="little").view("<i8")
+
+
+def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        found = [sketch(shingles(t.as_py())) for t in b.column("text")]
+        last = np.array([x for _, x in found], np.int64).reshape(-1, 2)
+        yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(last[:, 0]), pa.array(last[:, 1]), pa.array([x.tobytes() for x, _ in found], pa.binary())], names=["node", "fp", "fp2", "sections"])
 
 
-def keys_of(hashes: np.ndarray) -> np.ndarray:
-    """The keys of a shingle set, one a band, as signed 64-bit integers."""
-    factor, shift, mix = _factors()
-    low = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
-    for lo in range(0, len(hashes), 512):
-        np.minimum(low, (hashes[lo : lo + 512, None] * factor + shift).min(axis=0), out=low)
-    keys = (low.reshape(BANDS, ROWS) * mix).sum(axis=1, dtype=np.uint64)
-    keys ^= keys >> np.uint64(32)
-    return ((keys << np.uint64(5)) | np.arange(BANDS, dtype=np.uint64)).view(np.int64)
+def keys_of(sections: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row of ``sections``, key) of all keys."""
+    flat = sections.reshape(-1).astype(np.int64)
+    near, count = golay.nearby_indices(flat & ((1 << golay.LENGTH) - 1))
+    at, k = np.nonzero(np.arange(golay.NEARBY)[None, :] < count[:, None])
+    part = at % SECTIONS
+    return at // SECTIONS, (part << (EXACT + golay.DATA_BITS)) | (flat[at] >> golay.LENGTH << golay.DATA_BITS) | near[at, k]
 
 
 def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        nodes = b.column("node").to_numpy(zero_copy_only=False)
-        texts = b.column("text")
-        for lo in range(0, len(nodes), 1024):
-            part = nodes[lo : lo + 1024]
-            keys = [keys_of(shingles(texts[lo + i].as_py())) for i in range(len(part))]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.repeat(part, BANDS))], names=["key", "node"])
+        for lo in range(0, b.num_rows, 512):
+            part = b.slice(lo, 512)
+            at, keys = keys_of(np.frombuffer(b"".join(part.column("sections").to_pylist()), np.int32).reshape(-1, SECTIONS))
+            fps = [pa.array(part.column(c).to_numpy(zero_copy_only=False)[at]) for c in ("fp", "fp2")]
+            yield pa.RecordBatch.from_arrays([pa.array(keys), *fps], names=["key", "fp", "fp2"])
+
+
+def _near(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Whether rows of two words differ in few bits."""
+    d = np.bitwise_count(x ^ y)
+    return d[..., 0] + d[..., 1] <= MAX_BITS
+
+
+def _chained(x: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(a, b) positions that connect what chains of near rows connect; a row that is reached meets only rows that aren't yet."""
+    left = np.arange(len(x))
+    while len(left):
+        reached, left = [int(left[0])], left[1:]
+        while reached and len(left):
+            at = reached.pop()
+            near = _near(x[left], x[at])
+            if near.any():
+                found, left = left[near], left[~near]
+                yield found, np.full(len(found), at)
+                reached += found.tolist()
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (key, fp, fp2) sorted by key -> (key, fp) of the rows of a key that chains of near fingerprints connect, under a key of their own."""
+
+    def runs(keys: np.ndarray, x: np.ndarray) -> pa.RecordBatch:
+        links = _Links()
+        start = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+        size = np.diff(np.r_[start, len(keys)])
+        length = np.repeat(size, size)
+        left = np.repeat(start + size, size) - np.arange(len(keys))  # rows of the key from here on
+        at, step = np.flatnonzero((length <= 64) & (left > 1)), 1
+        while len(at):
+            near = at[_near(x[at], x[at + step])]
+            if len(near):
+                links.add(near, near + step)
+            step += 1
+            at = at[left[at] > step]
+        for f, n in zip(start[size > 64].tolist(), size[size > 64].tolist(), strict=True):
+            y = x[f : f + n]
+            if n <= 1024:
+                for lo in range(0, n, 64):
+                    i, j = np.nonzero(_near(y[lo : lo + 64, None], y[None, :]))
+                    i, j = i[i + lo < j] + lo, j[i + lo < j]
+                    if len(i):
+                        links.add(f + i, f + j)
+            else:
+                for i, j in _chained(y):
+                    links.add(f + i, f + j)
+        node, root = links.forest()
+        roots = np.unique(root)
+        node, root = np.concatenate([node, roots]), np.concatenate([root, roots])
+        mixed = keys[root].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + x[root, 0] * np.uint64(0xC2B2AE3D27D4EB4F)
+        found = np.unique(np.stack([mixed, x[node, 0]], axis=1).view(np.int64), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["key", "fp"])
+
+    held, n = [], 0
+    for b in batches:
+        k, fp, fp2 = (b.column(c).to_numpy(zero_copy_only=False) for c in ("key", "fp", "fp2"))
+        if not len(k):
+            continue
+        held.append((k, np.stack([fp, fp2], axis=1).view(np.uint64)))
+        n += len(k)
+        if n >= 200_000 and held[0][0][0] != k[-1]:  # the last key may go on
+            keys, x = (np.concatenate(c) for c in zip(*held, strict=True))
+            whole = int(np.searchsorted(keys, keys[-1]))
+            yield runs(keys[:whole], x[:whole])
+            held, n = [(keys[whole:], x[whole:])], len(keys) - whole
+    if held:
+        yield runs(*(np.concatenate(c) for c in zip(*held, strict=True)))
+
+
+def candidates(texts: DataFrame) -> DataFrame:
+    """(key, node): texts of one key are candidates; a text has no row if it has no candidate."""
+    n = shuffle_width(texts.sparkSession)
+    prints = written(texts.select("node", "text").mapInArrow(lean(_sketched), "node long, fp long, fp2 long, sections binary"), "near-sketches")
+    keyed = prints.dropDuplicates(["fp", "fp2", "sections"]).mapInArrow(lean(_keyed), "key long, fp long, fp2 long").repartition(n, "key").sortWithinPartitions("key")
+    groups = written(keyed.mapInArrow(lean(_groups), "key long, fp long"), "near-chains")
+    # equal fingerprints are a group of their own
+    equal = prints.groupBy("fp").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.xxhash64("fp").alias("key"), "fp")
+    out = written(groups.unionByName(equal).join(prints.select("fp", "node"), "fp").select("key", "node"), "near-keys")
+    forget(groups)
+    forget(prints)
+    return out
 
 
 def _edges(found: list[tuple[int, int]]) -> pa.RecordBatch:
@@ -168,7 +283,7 @@ def _rooted(nodes: DataFrame, roots: DataFrame) -> DataFrame:
 def links(texts: DataFrame, block: int = BLOCK) -> DataFrame:
     """(node, root) of every node with a smaller one in its component; ``texts`` has distinct (node, text)."""
     n = shuffle_width(texts.sparkSession)
-    keyed = written(texts.select("node", "text").mapInArrow(lean(_keyed), "key long, node long"), "near-keys")
+    keyed = candidates(texts)
     groups = keyed.groupBy("key").agg(F.min("node").alias("b"), F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("node").cast("decimal(20,0)")).alias("same")).filter("n > 1")
     groups = written(groups, "near-groups")
     # of keys with the same texts one does
