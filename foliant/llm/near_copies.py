@@ -7,12 +7,13 @@ fewer are candidates. At similarity 0.8 a bit differs with probability 0.15 at m
 probability 0.22, none of the sections does with 7e-7, and over 40 of 128 bits differ with about 1e-6. Keys and bits only propose: every
 link is verified on the sets of both whole texts.
 
-Work. Only distinct texts are keyed. Texts of a key fall into groups that chains of candidates connect; below, a key
-means such a group. First every text of a key is verified against the key's
-smallest node, in linear number, and what links is one component. What is left are keys of three
-or more texts that still belong to several components: of keys with the same texts one is kept, its
-texts are dealt out as pairs of blocks, and all pairs of different components are compared, so
-connectivity is that of all candidate pairs. No cap on keys, groups or partners.
+Work. Only distinct texts are keyed. Every text that has candidates is verified against two of them: the one with the fewest differing bits,
+and the one that most rows of their key are close to. What links is one component. The other links of these texts, if they join
+different components, are found by an exact prefix filter: two sets with the least similarity share one of their rarest shingles (a fifth of each, and one),
+and where they share the first one bounds their overlap. In rounds each text is verified against one text of another component, that with
+the fewest rarer shingles; when few of a round link, all pairs of different components that pass the bound are compared, each once whatever
+keys it shares. So a text gives two pairs, one a round and a fifth of its shingles at most, however large its group is; pairs of the last
+step are near misses. Connectivity is that of all links between texts that have candidates. No cap on keys, groups or partners.
 
 Edge cases: null counts as empty; fewer words than a shingle make one shingle, no words an empty one;
 repeated rows share their component; null ids don't become a component's id unless it has no
@@ -22,12 +23,11 @@ other; an empty table gives an empty table.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
-from itertools import combinations
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliant.llm import golay
@@ -44,8 +44,12 @@ WIDTH = golay.LENGTH + EXACT
 WORDS = -(-SECTIONS * WIDTH // 64) + 2
 #: Differing bits of a candidate pair, of 128.
 MAX_BITS = 40
-#: Texts of one key that are compared at once.
-BLOCK = 128
+#: Differing bits up to which a row counts for the centre of its key.
+CLOSE_BITS = 24
+#: Rows of one key of which all pairs are compared; chains connect those of larger keys.
+BLOCK = 1024
+#: Rounds of a pair for each text go on while one in so many links.
+MANY = 10
 
 
 def shingles(text: str | None, words: int = SHINGLE_WORDS, seed: int = SEED) -> np.ndarray:
@@ -116,59 +120,91 @@ def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(keys), *fps], names=["key", "fp", "fp2"])
 
 
+def _distance(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Differing bits of rows of two words."""
+    d = np.bitwise_count(x ^ y)
+    return d[..., 0] + d[..., 1]
+
+
 def _near(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Whether rows of two words differ in few bits."""
-    d = np.bitwise_count(x ^ y)
-    return d[..., 0] + d[..., 1] <= MAX_BITS
+    return _distance(x, y) <= MAX_BITS
 
 
 def _chained(x: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(a, b) positions that connect what chains of near rows connect; a row that is reached meets only rows that aren't yet."""
+    """(a, b) positions that connect what chains of near rows connect, chain by chain; a row that is reached meets only rows that aren't yet."""
     left = np.arange(len(x))
     while len(left):
-        reached, left = [int(left[0])], left[1:]
+        reached, left, a, b = [int(left[0])], left[1:], [], []
         while reached and len(left):
             at = reached.pop()
             near = _near(x[left], x[at])
             if near.any():
                 found, left = left[near], left[~near]
-                yield found, np.full(len(found), at)
+                a.append(found)
+                b.append(np.full(len(found), at))
                 reached += found.tolist()
+        if a:
+            yield np.concatenate(a), np.concatenate(b)
+
 
+def _central(x: np.ndarray) -> int:
+    """Position of the row nearest to the majority of each bit."""
+    bits = np.unpackbits(x.view(np.uint8), axis=1)
+    return int(_distance(x, np.packbits(bits.mean(axis=0) > 0.5).view(np.uint64)).argmin())
 
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (key, fp, fp2) sorted by key -> (key, fp) of the rows of a key that chains of near fingerprints connect, under a key of their own."""
+
+def _groups(batches: Iterator[pa.RecordBatch], block: int = BLOCK) -> Iterator[pa.RecordBatch]:
+    """Rows (key, fp, fp2) sorted by key -> (key, fp) of the rows of a key that chains of near fingerprints connect, under a key of their own, each with
+
+    the nearest fingerprint that it met (near, bits) and, of those it met and itself, the one that most rows are close to (hub, close); in keys over ``block`` rows that of the chain's majority."""
 
     def runs(keys: np.ndarray, x: np.ndarray) -> pa.RecordBatch:
-        links = _Links()
+        links, low = _Links(), (1 << 32) - 1
         start = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
         size = np.diff(np.r_[start, len(keys)])
         length = np.repeat(size, size)
         left = np.repeat(start + size, size) - np.arange(len(keys))  # rows of the key from here on
-        at, step = np.flatnonzero((length <= 64) & (left > 1)), 1
+        # a number and the row it belongs to, in one integer
+        nearest, hub, close = (MAX_BITS + 1 << 32) + np.arange(len(keys)), np.arange(len(keys)), np.zeros(len(keys), np.int64)
+
+        def meet(i: np.ndarray, j: np.ndarray, d: np.ndarray) -> None:
+            links.add(i, j)
+            for a, b in ((i, j), (j, i)):
+                np.minimum.at(nearest, a, (d.astype(np.int64) << 32) + b)
+                np.add.at(close, a[d <= CLOSE_BITS], 1)
+            for a, b in ((i, j), (j, i), (i, i), (j, j)):
+                np.maximum.at(hub, a, (close[b] << 32) + b)
+
+        short = min(64, block)
+        at, step, met = np.flatnonzero((length <= short) & (left > 1)), 1, []
         while len(at):
-            near = at[_near(x[at], x[at + step])]
-            if len(near):
-                links.add(near, near + step)
+            d = _distance(x[at], x[at + step])
+            if (ok := d <= MAX_BITS).any():
+                met.append((at[ok], at[ok] + step, d[ok]))
             step += 1
             at = at[left[at] > step]
-        for f, n in zip(start[size > 64].tolist(), size[size > 64].tolist(), strict=True):
+        if met:
+            meet(*(np.concatenate(c) for c in zip(*met, strict=True)))
+        for f, n in zip(start[size > short].tolist(), size[size > short].tolist(), strict=True):
             y = x[f : f + n]
-            if n <= 1024:
-                for lo in range(0, n, 64):
-                    i, j = np.nonzero(_near(y[lo : lo + 64, None], y[None, :]))
-                    i, j = i[i + lo < j] + lo, j[i + lo < j]
-                    if len(i):
-                        links.add(f + i, f + j)
+            if n <= block:
+                d = np.concatenate([_distance(y[lo : lo + 64, None], y[None, :]) for lo in range(0, n, 64)])
+                i, j = np.nonzero(np.triu(d <= MAX_BITS, 1))
+                if len(i):
+                    meet(f + i, f + j, d[i, j])
             else:
                 for i, j in _chained(y):
-                    links.add(f + i, f + j)
+                    meet(f + i, f + j, _distance(y[i], y[j]))
+                    chain = np.union1d(i, j)
+                    hub[f + chain] = (len(chain) << 32) + f + chain[_central(y[chain])]
         node, root = links.forest()
         roots = np.unique(root)
         node, root = np.concatenate([node, roots]), np.concatenate([root, roots])
         mixed = keys[root].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + x[root, 0] * np.uint64(0xC2B2AE3D27D4EB4F)
-        found = np.unique(np.stack([mixed, x[node, 0]], axis=1).view(np.int64), axis=0)
-        return pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["key", "fp"])
+        fps = x[:, 0].view(np.int64)
+        columns = {"key": mixed.view(np.int64), "fp": fps[node], "near": fps[nearest[node] & low], "bits": nearest[node] >> 32, "hub": fps[hub[node] & low], "close": hub[node] >> 32}
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns.values()], names=list(columns))
 
     held, n = [], 0
     for b in batches:
@@ -186,15 +222,16 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield runs(*(np.concatenate(c) for c in zip(*held, strict=True)))
 
 
-def candidates(texts: DataFrame) -> DataFrame:
-    """(key, node): texts of one key are candidates; a text has no row if it has no candidate."""
+def candidates(texts: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(key, node, fp, near, bits, hub, close): texts of one key are candidates, near and hub are fingerprints of them as in :func:`_groups`; a text has no row if it has no candidate."""
     n = shuffle_width(texts.sparkSession)
     prints = written(texts.select("node", "text").mapInArrow(lean(_sketched), "node long, fp long, fp2 long, sections binary"), "near-sketches")
     keyed = prints.dropDuplicates(["fp", "fp2", "sections"]).mapInArrow(lean(_keyed), "key long, fp long, fp2 long").repartition(n, "key").sortWithinPartitions("key")
-    groups = written(keyed.mapInArrow(lean(_groups), "key long, fp long"), "near-chains")
+    groups = written(keyed.mapInArrow(lean(partial(_groups, block=block)), "key long, fp long, near long, bits long, hub long, close long"), "near-chains")
     # equal fingerprints are a group of their own
-    equal = prints.groupBy("fp").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.xxhash64("fp").alias("key"), "fp")
-    out = written(groups.unionByName(equal).join(prints.select("fp", "node"), "fp").select("key", "node"), "near-keys")
+    equal = prints.groupBy("fp").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    equal = equal.select(F.xxhash64("fp").alias("key"), "fp", F.col("fp").alias("near"), F.lit(0).cast("long").alias("bits"), F.col("fp").alias("hub"), F.lit(0).cast("long").alias("close"))
+    out = written(groups.unionByName(equal).join(prints.select("fp", "node"), "fp").select("key", "node", "fp", "near", "bits", "hub", "close"), "near-keys")
     forget(groups)
     forget(prints)
     return out
@@ -218,90 +255,92 @@ def _verify_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield _edges(found)
 
 
-def _deal(block: int):
-    """Rows (key, node, root) sorted by key -> (key, i, j, k, node, root): every block k of a key, for each pair i, j of blocks it is in."""
+def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Those of distinct pairs (a, b) of nodes that link."""
+    pairs = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
+    return pairs.mapInArrow(lean(_verify_pairs), "a long, b long")
+
+
+def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (node, text) -> (node, n, token), a row for each of its n shingles."""
+    for b in batches:
+        for lo in range(0, b.num_rows, 64):
+            part = b.slice(lo, 64)
+            found = [shingles(t.as_py()) for t in part.column("text")]
+            size = np.array([len(x) for x in found])
+            node = part.column("node").to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(node, size)), pa.array(np.repeat(size, size)), pa.array(np.concatenate(found).view(np.int64))], names=["node", "n", "token"])
+
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["key", "i", "j", "k", "node", "root"]
+def _rooted(nodes: DataFrame, roots: DataFrame) -> DataFrame:
+    return nodes.join(roots.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left").drop("_node").withColumn("root", F.coalesce("root", "node"))
 
-        def deal(key: int, nodes: list[int], roots: list[int]) -> Iterator[pa.RecordBatch]:
-            n = -(-len(nodes) // block)
-            for i, j in [*((k, k) for k in range(n)), *combinations(range(n), 2)]:
-                for k in sorted({i, j}):
-                    part = slice(k * block, k * block + block)
-                    m = len(nodes[part])
-                    yield pa.RecordBatch.from_arrays([pa.array([key] * m, pa.int64()), *(pa.array([x] * m, pa.int32()) for x in (i, j, k)), pa.array(nodes[part], pa.int64()), pa.array(roots[part], pa.int64())], names=names)
 
-        held, nodes, roots = None, [], []
-        for batch in batches:
-            for key, node, root in zip(*(batch.column(c).to_pylist() for c in ("key", "node", "root")), strict=True):
-                if key != held:
-                    if nodes:
-                        yield from deal(held, nodes, roots)
-                    held, nodes, roots = key, [], []
-                nodes.append(node)
-                roots.append(root)
-        if nodes:
-            yield from deal(held, nodes, roots)
+def rare_shingles(texts: DataFrame) -> DataFrame:
+    """(node, n, token, rest): of a text's n shingles those in whose place the first common one of a link can stand, with the number from there on.
 
-    return run
+    Shingles are ordered by how many texts have them. Sets of n and m shingles that link have k >= num / (num + den) * (n + m) >= n * num / den
+    in common, so k - 1 come behind the first common one in both.
+    """
+    num, den = LEAST
+    tokens = written(texts.select("node", "text").mapInArrow(lean(_shingled), "node long, n long, token long"), "near-shingles")
+    common = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1")  # others come first, and meet nothing
+    own = Window.partitionBy("node")
+    rare = tokens.join(common, "token").withColumn("rest", F.count(F.lit(1)).over(own) - F.row_number().over(own.orderBy("texts", "token")) + 1)
+    rare = written(rare.filter(f"rest >= (n * {num} + {den - 1}) div {den}").select("node", "n", "token", "rest"), "near-rare")
+    forget(tokens)
+    return rare
 
 
-def _verify_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (key, i, j, k, node, root, text) sorted by (key, i, j) -> links; holds two blocks at a time, and compares no two nodes already connected."""
-    held, rows = None, []
+def _can_link(y: str) -> str:
+    """Whether rows x and y of :func:`rare_shingles`, of one token, are of different components and have enough from there on."""
+    num, den = LEAST
+    return f"x.root <> {y}.root AND least(x.rest, {y}.rest) * {num + den} >= (x.n + {y}.n) * {num}"
 
-    def close() -> pa.RecordBatch:
-        found, up = [], {}
 
-        def top(x: int) -> int:
-            while x in up:
-                x = up[x]
-            return x
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
 
-        for (k, a, r, x), (m, b, s, y) in combinations(rows, 2):
-            if (k != m or held[1] == held[2]) and (r := top(r)) != (s := top(s)) and similar(x, y):
-                up[r] = s
-                found.append((a, b))
-        return _edges(found)
 
-    for batch in batches:
-        for key, i, j, k, node, root, text in zip(*(batch.column(c).to_pylist() for c in ("key", "i", "j", "k", "node", "root", "text")), strict=True):
-            if held != (key, i, j):
-                if rows:
-                    yield close()
-                held, rows = (key, i, j), []
-            rows.append((k, node, root, shingles(text)))
-    if rows:
-        yield close()
+def central(rare: DataFrame, roots: DataFrame) -> DataFrame:
+    """(a, b) with b < a: a pair for each text at most, with the text of another component that, at one of its shingles, has the fewest rarer ones."""
+    rows = _rooted(rare, roots)
+    least = rows.groupBy("token").agg(F.max(F.struct(F.expr("rest / n").alias("share"), "node", "root", "n", "rest")).alias("y")).select("token", "y.*")
+    met = rows.alias("x").join(least.alias("y"), "token").filter(_can_link("y"))
+    return _ordered(met.groupBy(F.col("x.node").alias("x")).agg(F.max(F.struct("share", "y.node"))["node"].alias("y")))
 
 
-def _rooted(nodes: DataFrame, roots: DataFrame) -> DataFrame:
-    return nodes.join(roots.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left").drop("_node").withColumn("root", F.coalesce("root", "node"))
+def crossing(rare: DataFrame, roots: DataFrame) -> DataFrame:
+    """(a, b) with b < a: pairs of texts of different components, among them all that link."""
+    rows = written(_rooted(rare, roots), "near-rooted-rare")
+    # of two components at a shingle one isn't the largest there
+    largest = rows.groupBy("token", "root").agg(F.count(F.lit(1)).alias("rows")).groupBy("token").agg(F.max(F.struct("rows", "root"))["root"].alias("largest"), F.count(F.lit(1)).alias("roots")).filter("roots > 1")
+    minor = rows.join(largest, "token").filter("root <> largest")
+    met = minor.alias("x").join(rows.alias("y"), "token").filter(_can_link("y"))
+    return _ordered(met.select(F.col("x.node").alias("x"), F.col("y.node").alias("y")))
 
 
 def links(texts: DataFrame, block: int = BLOCK) -> DataFrame:
     """(node, root) of every node with a smaller one in its component; ``texts`` has distinct (node, text)."""
-    n = shuffle_width(texts.sparkSession)
-    keyed = candidates(texts)
-    groups = keyed.groupBy("key").agg(F.min("node").alias("b"), F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("node").cast("decimal(20,0)")).alias("same")).filter("n > 1")
-    groups = written(groups, "near-groups")
-    # of keys with the same texts one does
-    alike = groups.groupBy("n", "same", "b").agg(F.min("key").alias("key")).select("key", "b", "n")
-    members = written(keyed.join(alike, "key").select("key", "node", "b", "n"), "near-members")
+    keyed = candidates(texts, block)
+    partners = keyed.groupBy("node").agg(F.min(F.struct("bits", "near"))["near"].alias("near"), F.max(F.struct("close", "hub"))["hub"].alias("hub"))
+    partners = written(partners, "near-partners")
+    owners = keyed.groupBy("fp").agg(F.min("node").alias("b"))
+    pairs = partners.select(F.col("node").alias("a"), F.explode(F.array_distinct(F.array("near", "hub"))).alias("fp")).join(owners, "fp").filter("a <> b")
+    pairs = written(pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "near-pairs")
     forget(keyed)
-    near = written(texts.join(members.select("node").distinct(), "node", "left_semi"), "near-texts")
-    pairs = members.filter("node <> b").select(F.col("node").alias("a"), "b").distinct()
-    pairs = pairs.join(near.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").join(near.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-    stars = written(pairs.mapInArrow(lean(_verify_pairs), "a long, b long"), "near-stars")
-    roots = components(stars)
-    left = written(_rooted(members.filter("n > 2").select("key", "node"), roots), "near-left")
-    several = left.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("key")
-    open_keys = left.join(several, "key").repartition(n, "key").sortWithinPartitions("key", "node")
-    dealt = written(open_keys.mapInArrow(_deal(block), "key long, i int, j int, k int, node long, root long"), "near-blocks")
-    blocks = dealt.join(near, "node").repartition(n, "key", "i", "j").sortWithinPartitions("key", "i", "j")
-    more = blocks.select("key", "i", "j", "k", "node", "root", "text").mapInArrow(lean(_verify_blocks), "a long, b long")
-    return components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more).distinct())
+    near = written(texts.join(partners.select("node"), "node", "left_semi"), "near-texts")
+    roots = components(written(_verified(pairs, near), "near-stars"))
+    rare = rare_shingles(near)
+    joined = lambda more: components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more).distinct())
+    while True:
+        pairs = written(central(rare, roots), "near-central")
+        more = written(_verified(pairs, near), "near-stars")
+        if found := more.count():
+            roots = joined(more)
+        if found * MANY <= pairs.count():
+            break
+    return joined(_verified(written(crossing(rare, roots), "near-crossing"), near))
 
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
