@@ -325,7 +325,8 @@ def links(texts: DataFrame, block: int = BLOCK) -> DataFrame:
     keyed = candidates(texts, block)
     partners = keyed.groupBy("node").agg(F.min(F.struct("bits", "near"))["near"].alias("near"), F.max(F.struct("close", "hub"))["hub"].alias("hub"))
     partners = written(partners, "near-partners")
-    owners = keyed.groupBy("fp").agg(F.min("node").alias("b"))
+    # a table before it is joined: rows of a hub then come from a plain exchange, which can be split
+    owners = written(keyed.groupBy("fp").agg(F.min("node").alias("b")), "near-owners")
     pairs = partners.select(F.col("node").alias("a"), F.explode(F.array_distinct(F.array("near", "hub"))).alias("fp")).join(owners, "fp").filter("a <> b")
     pairs = written(pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "near-pairs")
     forget(keyed)
